@@ -430,12 +430,12 @@ def price_vs_mileage(spark, sf_dir):
 
 
 @query("year_price_trend", summary_sql(f"""
-SELECT make, year, {r('avg(price_mean)', 4)} AS price_mean FROM market SEMI JOIN front_makes USING (make)
+SELECT make, year, {r('avg(price_mean)', 6)} AS price_mean FROM market SEMI JOIN front_makes USING (make)
 GROUP BY make, year""", leading(5)))
 def year_price_trend(spark, sf_dir):
     from forecourt.functions import half_even
     return summaries.year_price_trend(stored_market(spark, sf_dir)).withColumn(
-        "price_mean", half_even("price_mean", 4))
+        "price_mean", half_even("price_mean", 6))
 
 
 HEAT_YEARS = list(range(1997, 2002))
@@ -449,34 +449,34 @@ def listing_heatmap(spark, sf_dir):
 
 
 @query("price_variability", summary_sql(f"""
-SELECT make, {r('weighted_cv', 4)} AS weighted_cv, total_listings FROM (
+SELECT make, {r('weighted_cv', 6)} AS weighted_cv, total_listings FROM (
   SELECT make, sum(price_cv_pct * listing_count) / sum(listing_count) FILTER (price_cv_pct IS NOT NULL) AS weighted_cv,
     sum(listing_count)::BIGINT AS total_listings FROM market GROUP BY make)
 WHERE weighted_cv IS NOT NULL AND total_listings >= 50 ORDER BY weighted_cv DESC, make LIMIT 15"""))
 def price_variability(spark, sf_dir):
     from forecourt.functions import half_even
     return summaries.price_variability(stored_market(spark, sf_dir)).withColumn(
-        "weighted_cv", half_even("weighted_cv", 4))
+        "weighted_cv", half_even("weighted_cv", 6))
 
 
 @query("mpg_by_body", summary_sql(f"""
-SELECT bodytype, {r('avg(avg_mpg_combined)', 4)} AS avg_mpg, sum(listing_count)::BIGINT AS count
+SELECT bodytype, {r('avg(avg_mpg_combined)', 6)} AS avg_mpg, sum(listing_count)::BIGINT AS count
 FROM market GROUP BY bodytype HAVING sum(listing_count) >= 20 AND avg(avg_mpg_combined) > 0"""))
 def mpg_by_body(spark, sf_dir):
     from forecourt.functions import half_even
     return summaries.mpg_by_body(stored_market(spark, sf_dir)).withColumn(
-        "avg_mpg", half_even("avg_mpg", 4))
+        "avg_mpg", half_even("avg_mpg", 6))
 
 
 @query("discount_by_make", summary_sql(f"""
-SELECT make, {r('avg_disc', 4)} AS avg_disc, count FROM (
+SELECT make, {r('avg_disc', 6)} AS avg_disc, count FROM (
   SELECT make, avg(avg_discount_pct) AS avg_disc, sum(listing_count)::BIGINT AS count
   FROM market GROUP BY make HAVING sum(listing_count) >= 50
   ORDER BY avg_disc DESC NULLS LAST, make LIMIT 15)"""))
 def discount_by_make(spark, sf_dir):
     from forecourt.functions import half_even
     return summaries.discount_by_make(stored_market(spark, sf_dir)).withColumn(
-        "avg_disc", half_even("avg_disc", 4))
+        "avg_disc", half_even("avg_disc", 6))
 
 
 @query("leading_makes_listings", gold_sql("""
@@ -489,13 +489,13 @@ def leading_makes_listings(spark, sf_dir):
 
 
 @query("weighted_mean_price", summary_sql(f"""
-SELECT model, {r('sum(price_mean * listing_count) / sum(listing_count)', 3)} AS weighted_price,
+SELECT model, {r('sum(price_mean * listing_count) / sum(listing_count)', 6)} AS weighted_price,
   sum(listing_count)::BIGINT AS listings FROM market GROUP BY model HAVING sum(listing_count) >= 50"""))
 def weighted_mean_price(spark, sf_dir):
     from forecourt.functions import half_even
     market, n = stored_market(spark, sf_dir), F.col("listing_count")
     return market.groupBy("model").agg(
-        half_even(F.sum(F.col("price_mean") * n) / F.sum(n), 3).alias("weighted_price"),
+        half_even(F.sum(F.col("price_mean") * n) / F.sum(n), 6).alias("weighted_price"),
         F.sum(n).alias("listings")).where(F.col("listings") >= 50)
 
 

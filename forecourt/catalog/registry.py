@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from forecourt.catalog import gold_queries
+from forecourt.catalog import gold_queries, silver_queries
 
-QUERIES = {**gold_queries.QUERIES}
-ORACLES = {**gold_queries.ORACLES}
+QUERIES = {**gold_queries.QUERIES, **silver_queries.QUERIES}
+ORACLES = {**gold_queries.ORACLES, **silver_queries.ORACLES}

@@ -56,7 +56,7 @@ def compact(df: DataFrame, path: str, total_bytes: int | None = None,
 def input_bytes(df: DataFrame) -> int:
     """Total size of the files a plain scan reads."""
     plan = df._jdf.queryExecution().optimizedPlan()
-    return int(plan.stats().sizeInBytes().longValue())
+    return int(str(plan.stats().sizeInBytes()))
 
 
 def json_line() -> Column:
