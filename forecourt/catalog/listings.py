@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt import fixed_values as fixed
+from forecourt.session import spread, tune
 
 AS_OF_YEAR = 2001
 AS_OF = "2001-06-01 00:00:00"
@@ -118,7 +119,7 @@ EXPRESSIONS = {**VEHICLE, **DEALER, **LINEAGE, **HANDLES}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _ordered(names) -> list[str]:
@@ -130,7 +131,7 @@ def listings(spark: SparkSession, sf_dir: str, dealer: bool = False,
              handles: bool = False) -> DataFrame:
     """Listings in silver shape; ``dealer`` adds the columns that need the
     supplier, nation and region joins."""
-    rows = table(spark, sf_dir, "lineitem").join(
+    rows = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber").join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"), "left")
     chosen = {**VEHICLE, **LINEAGE}
     if dealer:

@@ -395,7 +395,7 @@ def full_refresh(spark, sf_dir):
     valid = silver_frame(spark, sf_dir)[0]
     for _ in range(2):
         writers.write_silver(keys.first_per_key(valid, ["vin"], ["_source_file", "listing_id"]),
-                             path, full_refresh=True)
+                             path, RUN_ID, full_refresh=True)
     return readers.parquet_scan(spark, path, shape.SILVER).groupBy("make").agg(F.count("*").alias("rows"))
 
 
@@ -477,7 +477,7 @@ def gold_run(spark: SparkSession, sf_dir: str) -> str:
     if at not in _GOLD:
         silver_root, gold_root = fresh_path(spark, "silver-src"), fresh_path(spark, "gold-lake")
         writers.write_silver(listings(spark, sf_dir, dealer=True).select(*fixed.SILVER_COLUMNS),
-                             jobs.SilverLake(silver_root).listings)
+                             jobs.SilverLake(silver_root).listings, RUN_ID)
         jobs.run_gold(spark, silver_root, gold_root, run_id=RUN_ID, run_ts=RUN_TS, as_of=AS_OF,
                       as_of_year=AS_OF_YEAR)
         _GOLD[at] = gold_root
@@ -571,7 +571,7 @@ def incremental_silver_stream_(spark, sf_dir):
     for _ in range(2):
         incremental_silver_stream(spark, raw_feed(spark, sf_dir), f"{root}/silver", f"{root}/checkpoint",
                                   source_file=feed_name, glob=FEED_GLOB,
-                                  files_per_batch=2).awaitTermination()
+                                  files_per_batch=8).awaitTermination()
     return jobs.SilverLake(f"{root}/silver").read(spark).select("vin", "year", "_source_system")
 
 

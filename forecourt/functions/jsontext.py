@@ -22,21 +22,21 @@ def owner_count(c: Column | str) -> Column:
     """Entries of ``history``: 0 when the object lacks it, null when it is not a
     list or the text is not an object."""
     text = _col(c)
-    keys = F.json_object_keys(text)
     listed = F.json_array_length(F.get_json_object(text, "$.history"))
-    return (F.when(F.array_contains(keys, "history"), listed)
-            .when(keys.isNotNull(), F.lit(0))).cast("bigint")
+    # only texts without a listed history are parsed for their keys
+    absent = ~F.array_contains(F.json_object_keys(text), "history")
+    return F.coalesce(listed, F.when(absent, F.lit(0))).cast("bigint")
 
 
 def service_event_count(c: Column | str) -> Column:
     """``number`` as a whole count: fractions are cut, text counts only when it
     holds a whole number, zero and anything else become null."""
-    variant = F.try_parse_json(_col(c))
-    number = F.try_variant_get(variant, "$.number", "string")
-    quoted = F.schema_of_variant(F.try_variant_get(variant, "$.number", "variant")) == "STRING"
-    cut = number.try_cast("double").try_cast("bigint")
-    count = F.when(quoted, number.try_cast("bigint")).otherwise(cut)
-    return F.nullif(count, F.lit(0).cast("bigint"))
+    text = _col(c)
+    number = F.get_json_object(text, "$.number")
+    # only a number that is not whole needs a look at how it was written
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(text), "$.number", "variant"))
+    cut = F.when(kind != "STRING", number.try_cast("double").try_cast("bigint"))
+    return F.nullif(F.coalesce(number.try_cast("bigint"), cut), F.lit(0).cast("bigint"))
 
 
 def json_list_size(c: Column | str) -> Column:

@@ -26,11 +26,17 @@ def number_or_null(c: Column | str) -> Column:
 
 
 def whole_number_or_null(c: Column | str) -> Column:
-    """Any value as bigint; text such as ``12.0`` counts, fractions become null."""
+    """Any value as bigint; text such as ``12.0`` counts, fractions become null.
+
+    Reads through double, which parses both forms without a failed cast (costly
+    per value); only magnitudes beyond its exact range are read as text.
+    """
     value = _col(c)
-    as_double = number_or_null(value)
-    integral = F.when(as_double == F.floor(as_double), as_double).try_cast("bigint")
-    return F.coalesce(value.cast("string").try_cast("bigint"), integral)
+    number = value.try_cast("double")
+    whole = F.when(number == F.floor(number), number.try_cast("bigint"))
+    # NaN is above every number, and no whole number as text either
+    return F.when(F.abs(number) < float(2 ** 53), whole).when(
+        number.isNotNull(), value.cast("string").try_cast("bigint"))
 
 
 def clip(c: Column | str, lower: float | None = None, upper: float | None = None) -> Column:

@@ -12,7 +12,9 @@ therefore ranked by narrowing instead:
 
 Buckets are monotone functions of the value, so the result is exact; each step
 is an ordinary aggregation with map-side combine whose keys spread a hot group
-over all tasks.
+over all tasks.  Hot keys and the buckets found are written as small tables: the
+planner knows their size, broadcasts them when small and shuffles otherwise, and
+no step repeats an earlier one.
 """
 
 from __future__ import annotations
@@ -22,9 +24,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A group up to this many rows is aggregated in one task.  There can be at most
-# rows / HOT_ROWS larger groups, which bounds every broadcast below: about
-# 250,000 keys for 10^12 rows.
+from forecourt.session import stage
+
+# A group up to this many rows is aggregated in one task.
 HOT_ROWS = 4_000_000
 
 FINE_BITS = 20      # 2^20 fine buckets per doubling of the magnitude
@@ -37,6 +39,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
             .where(F.col("_n") > hot_rows).select(*keys))
 
 
+def staged_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+                    ) -> DataFrame | None:
+    """The hot keys as a written table, or None when there are none.  Runs one
+    job over the key columns."""
+    found = stage(hot_keys(df, keys, hot_rows), "hot-keys")
+    return None if found.isEmpty() else found
+
+
 def _fine_bucket(value: Column) -> Column:
     magnitude = F.floor(F.log2(F.abs(value) + 1.0) * float(2 ** FINE_BITS)).cast("bigint")
     # mirrored for negatives so that buckets stay ordered like the values
@@ -53,10 +63,10 @@ def _counts_before(df: DataFrame, group: Sequence[str], step: str) -> DataFrame:
 def _narrow(df: DataFrame, targets: DataFrame, group: list[str], found: str, step: str
             ) -> DataFrame:
     """Move every target rank from its ``found`` bucket to a ``step`` inside it."""
-    held = F.broadcast(targets.select(*group, found).distinct())
+    held = targets.select(*group, found).distinct()
     steps = _counts_before(df.join(held, [*group, found], "left_semi"), [*group, found], step)
     inside = (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_n"))
-    return (steps.join(F.broadcast(targets), [*group, found]).where(inside)
+    return (steps.join(targets, [*group, found]).where(inside)
             .select(*group, step, "_slot", (F.col("_rank") - F.col("_before")).alias("_rank"),
                     "_total"))
 
@@ -77,13 +87,15 @@ def ranked_quantiles(df: DataFrame, keys: Sequence[str], value: str,
         F.struct(F.lit(2 * i + side).alias("_slot"), near(p).cast("bigint").alias("_at"))
         for i, p in enumerate(position) for side, near in enumerate((F.floor, F.ceil))
     ])
-    coarse = (_counts_before(rows, group, "_coarse")
+    coarse = stage(
+        _counts_before(rows, group, "_coarse")
               .withColumn("_total", F.sum("_n").over(Window.partitionBy(*group)))
               .withColumn("_want", F.explode(F.filter(slots, lambda s: (
                   s["_at"] >= F.col("_before")) & (s["_at"] < F.col("_before") + F.col("_n")))))
               .select(*group, "_coarse", F.col("_want._slot").alias("_slot"),
-                      (F.col("_want._at") - F.col("_before")).alias("_rank"), "_total"))
-    fine = _narrow(rows, coarse, group, "_coarse", "_fine")
+                      (F.col("_want._at") - F.col("_before")).alias("_rank"), "_total"),
+        "coarse-ranks")
+    fine = stage(_narrow(rows, coarse, group, "_coarse", "_fine"), "fine-ranks")
     exact = _narrow(rows, fine, group, "_fine", "_value")
 
     def at(slot: int) -> Column:
@@ -105,11 +117,16 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, fractions: S
     group; ``keys`` must not be null."""
     number = F.col(value).cast("double")
     rows = df.where(number.isNotNull() & ~F.isnan(number)).select(*keys, number.alias("_value"))
-    hot = F.broadcast(hot_keys(rows, keys, hot_rows))
-    small = rows.join(hot, list(keys), "left_anti").groupBy(*keys).agg(
-        F.percentile("_value", F.array(*[F.lit(float(f)) for f in fractions])).alias("quantiles"))
-    large = ranked_quantiles(rows.join(hot, list(keys), "left_semi"), keys, "_value", fractions)
-    return small.unionByName(large)
+    hot = staged_hot_keys(rows, keys, hot_rows)
+
+    def in_one_task(part: DataFrame) -> DataFrame:
+        wanted = F.array(*[F.lit(float(f)) for f in fractions])
+        return part.groupBy(*keys).agg(F.percentile("_value", wanted).alias("quantiles"))
+
+    if hot is None:
+        return in_one_task(rows)
+    return in_one_task(rows.join(hot, list(keys), "left_anti")).unionByName(
+        ranked_quantiles(rows.join(hot, list(keys), "left_semi"), keys, "_value", fractions))
 
 
 def grouped_stats(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column],
@@ -120,23 +137,25 @@ def grouped_stats(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Colum
     rows = df.dropna(subset=group)
     if not medians:
         return rows.groupBy(*group).agg(*aggregates)
-    hot = F.broadcast(hot_keys(rows, group, hot_rows))
+    hot = staged_hot_keys(rows, group, hot_rows)
+    if hot is None:
+        return rows.groupBy(*group).agg(
+            *aggregates, *[F.median(source).cast("double").alias(name)
+                           for name, source in medians.items()])
+
     flagged = rows.join(hot.withColumn("_hot", F.lit(True)), group, "left")
     ordinary = F.col("_hot").isNull()
     table = flagged.groupBy(*group).agg(
-        *aggregates,
-        *[F.median(F.when(ordinary, F.col(source))).cast("double").alias(name)
-          for name, source in medians.items()])
-
+        *aggregates, *[F.median(F.when(ordinary, F.col(source))).cast("double").alias(name)
+                       for name, source in medians.items()])
     measured = F.explode(F.array(*[
         F.struct(F.lit(name).alias("_measure"), F.col(source).cast("double").alias("_value"))
         for name, source in medians.items()]))
-    hot_rows_long = (rows.join(hot, group, "left_semi").select(*group, measured.alias("_m"))
-                     .select(*group, "_m._measure", "_m._value"))
-    ranked = ranked_quantiles(hot_rows_long, [*group, "_measure"], "_value", [0.5])
-    ranked = ranked.groupBy(*group).agg(*[
+    long = (rows.join(hot, group, "left_semi").select(*group, measured.alias("_m"))
+            .select(*group, "_m._measure", "_m._value"))
+    ranked = ranked_quantiles(long, [*group, "_measure"], "_value", [0.5]).groupBy(*group).agg(*[
         F.max(F.when(F.col("_measure") == name, F.col("quantiles")[0])).alias(f"_hot_{name}")
         for name in medians])
     merged = {name: F.coalesce(F.col(name), F.col(f"_hot_{name}")) for name in medians}
-    return (table.join(F.broadcast(ranked), group, "left").withColumns(merged)
+    return (table.join(ranked, group, "left").withColumns(merged)
             .drop(*[f"_hot_{name}" for name in medians]))

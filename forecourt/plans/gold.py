@@ -19,6 +19,7 @@ from forecourt.functions import (accident_flag, age_in_years, bucket_ordinal, bu
 from forecourt.operators.frequency import most_frequent, sorted_distinct_joined, top_n_joined
 from forecourt.operators.quantiles import HOT_ROWS, grouped_stats
 from forecourt.operators.shape import drop_columns
+from forecourt.session import stage
 
 
 def rounded(df: DataFrame, digits: int, skip: tuple[str, ...] = ()) -> DataFrame:
@@ -91,10 +92,16 @@ def quality_score(age: Column, mileage: Column, accident: Column, services: Colu
 def with_segment_median(df: DataFrame, keys: tuple[str, ...] = ("make", "model", "year"),
                         value: str = "current_price", out: str = "segment_median_price",
                         hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Attach each row's group median.  Medians are aggregated and joined back
-    rather than taken over a window: a window would pull every group whole into
-    one task, the join is split by AQE where a group is skewed."""
-    medians = grouped_stats(df.select(*keys, value), keys, [], {out: value}, hot_rows)
+    """Attach each row's group median.
+
+    Medians are aggregated and joined back rather than taken over a window,
+    which would pull every group whole into one task.  They are written first:
+    the planner then knows their size, broadcasts them when small, so that the
+    wide rows are not shuffled at all, and else joins by a shuffle that AQE
+    splits where a group is skewed.
+    """
+    medians = stage(grouped_stats(df.select(*keys, value), keys, [], {out: value}, hot_rows),
+                    "segment-medians")
     return df.join(medians, list(keys), "left")
 
 

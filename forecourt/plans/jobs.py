@@ -140,7 +140,7 @@ def run_silver(spark: SparkSession, raw_path: str, silver_root: str, full_refres
                        source_system)
     stored = spark.createDataFrame([], SILVER) if full_refresh else lake.read(spark)
     stored = stored.where(F.col("_pipeline_run_id") != run_id)
-    write_silver(new_silver(staged, stored), lake.listings, full_refresh)
+    write_silver(new_silver(staged, stored), lake.listings, run_id, full_refresh)
     write_quarantine(split_rejected(staged)[1].select(
         *fixed.SILVER_COLUMNS, fixed.REJECTION_COLUMN), silver_root)
 

@@ -47,19 +47,15 @@ def silver_rows(raw: DataFrame, run_id: str, run_ts: str,
     ``keep`` adds columns computed on the scan (row positions) after the reason.
     Scan, parse, flatten, standardise, cast and rule checks are one stage.
     """
-    kept = dict(keep or {})
-    origin = F.col("_metadata.file_name") if source_file is None else source_file
-    tagged = raw.withColumns({**kept, "_origin": F.col(origin) if isinstance(origin, str) else origin})
-    extra = list(kept)
     checks = dict(rules or listing_rules())
+    kept = [column.alias(name) for name, column in (keep or {}).items()]
     if CORRUPT in raw.columns:
         checks = {"corrupt_json": F.col(CORRUPT).isNotNull(), **checks}
-        extra.append(CORRUPT)
-    shaped = enforce_schema(
-        add_lineage(standardise(flatten(tagged)), run_id, run_ts, "_origin", source_system),
-        keep=extra)
+    tagged = add_lineage(standardise(flatten(raw)), run_id, run_ts, source_file, source_system)
+    # positions and fault marks ride along in the one projection that casts
+    shaped = enforce_schema(tagged, keep=[*kept, *([CORRUPT] if CORRUPT in raw.columns else [])])
     return mark_rejections(shaped, checks).select(
-        *fixed.SILVER_COLUMNS, fixed.REJECTION_COLUMN, *kept)
+        *fixed.SILVER_COLUMNS, fixed.REJECTION_COLUMN, *(keep or {}))
 
 
 def silver_transform(raw: DataFrame, run_id: str, run_ts: str, **options

@@ -8,16 +8,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the jobs rely on.  AQE splits skewed join and rebalance
-# partitions, coalesces small ones and drops branches found empty at run time;
-# the object-hash limit keeps exact medians over many small groups from falling
-# back to sorting every input row.
+# partitions, coalesces small ones and drops branches found empty at run time.
+# The object-hash limit keeps exact medians over many small groups from falling
+# back to sorting every input row.  Listings are wide: above the method limit
+# the JVM would not compile a fused stage's code at all, so such stages run as
+# separately compiled projections.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
-    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -32,6 +34,24 @@ def build_session(app_name: str = "forecourt", master: str | None = None,
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Give a foreign session those of :data:`SETTINGS` it leaves at Spark's
+    defaults; what it sets itself stays."""
+    for key, value in SETTINGS.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+    return spark
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Give a scan with fewer splits than the session has cores (a small file, a
+    single row group) one task per core.  Larger scans are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *columns)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, for staged tables.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from forecourt import fixed_values as fixed
 from forecourt.operators.keys import first_per_key
+from forecourt.session import drop_path
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
@@ -30,11 +32,19 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     return int(watch.get["rows"])
 
 
-def write_silver(df: DataFrame, path: str, full_refresh: bool = False) -> int:
-    """Store silver rows by run.  ``rebalance`` lets AQE size the files and split
-    a hot run; a repeated run replaces its own partition."""
-    return write_parquet(df.hint("rebalance"), path, partition_by=["_pipeline_run_id"],
-                         replace_partitions=not full_refresh)
+def run_folder(path: str, run_id: str) -> str:
+    """Partition folder of one run; Spark reads the run id from its name."""
+    if not re.fullmatch(r"[\w.-]+", run_id):
+        raise ValueError(f"run id {run_id!r} must consist of letters, digits, '.', '_' and '-'")
+    return f"{path}/_pipeline_run_id={run_id}"
+
+
+def write_silver(df: DataFrame, path: str, run_id: str, full_refresh: bool = False) -> int:
+    """Store a run's silver rows in its own partition folder; the same run
+    written again replaces itself.  A full refresh first drops all runs."""
+    if full_refresh:
+        drop_path(df.sparkSession, path)
+    return write_parquet(df.drop("_pipeline_run_id"), run_folder(path, run_id))
 
 
 def write_quarantine(df: DataFrame, root: str) -> int:
