@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.operators.keys import first_per_key
+from forecourt.operators.keys import first_per_key, with_keys
 
 
 def stack_columns(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
@@ -34,7 +34,7 @@ def top_n_joined(df: DataFrame, group: str, value: str, n: int, out: str,
                  separator: str = ", ") -> DataFrame:
     """The ``n`` most frequent ``value``s per group as joined text, most frequent
     first, ties ascending.  Only ``n`` counted values per group are gathered."""
-    counted = df.dropna(subset=[group, value]).groupBy(group, value).agg(F.count("*").alias("_n"))
+    counted = with_keys(df, [group, value]).groupBy(group, value).agg(F.count("*").alias("_n"))
     best = first_per_key(counted, [group], [F.desc("_n"), F.asc(value)], n)
     ranked = F.array_sort(F.collect_list(F.struct((-F.col("_n")).alias("r"), F.col(value).alias("v"))))
     return best.groupBy(group).agg(
@@ -43,7 +43,7 @@ def top_n_joined(df: DataFrame, group: str, value: str, n: int, out: str,
 
 def most_frequent(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
     """The most frequent ``value`` per group, ties ascending."""
-    counted = df.dropna(subset=[group, value]).groupBy(group, value).agg(F.count("*").alias("_n"))
+    counted = with_keys(df, [group, value]).groupBy(group, value).agg(F.count("*").alias("_n"))
     return counted.groupBy(group).agg(
         F.min_by(value, F.struct(-F.col("_n"), F.col(value))).alias(out))
 
@@ -56,7 +56,7 @@ def sorted_distinct_joined(value: Column | str, separator: str = ", ") -> Column
 def pivot_sum(df: DataFrame, rows: str, columns: str, measure: str,
               column_values: Sequence | None = None) -> DataFrame:
     """``rows`` x ``columns`` table of summed ``measure``, empty cells 0."""
-    grouped = df.dropna(subset=[rows, columns]).groupBy(rows)
+    grouped = with_keys(df, [rows, columns]).groupBy(rows)
     spread = grouped.pivot(columns, list(column_values)) if column_values else grouped.pivot(columns)
     return spread.agg(F.sum(measure)).na.fill(0)
 

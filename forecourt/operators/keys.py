@@ -8,6 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose ``keys`` are all present.  One plain condition per key, which
+    reaches the scan for stored columns and folds away for columns that cannot
+    be null."""
+    for key in keys:
+        df = df.where(F.col(key).isNotNull())
+    return df
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str],
                   k: int = 1) -> DataFrame:
     """The first ``k`` rows of every key in ``order_by`` order.
@@ -20,14 +29,17 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column
             .where(F.col("_rank") <= k).drop("_rank"))
 
 
-def drop_known_keys(batch: DataFrame, known: DataFrame, key: str) -> DataFrame:
+def drop_known_keys(batch: DataFrame, known: DataFrame, key: str,
+                    batch_keys: DataFrame | None = None) -> DataFrame:
     """Rows of ``batch`` whose ``key`` does not occur in ``known``.
 
     ``known`` (the stored table) is first reduced to the batch's keys: that side
     can stream past a small batch, or be thinned by a run-time Bloom filter,
-    instead of being shuffled whole for every small batch.
+    instead of being shuffled whole for every small batch.  ``batch_keys`` is a
+    cheaper source of the batch's keys (more keys do no harm).
     """
-    wanted = batch.select(key).where(F.col(key).isNotNull())
+    source = batch if batch_keys is None else batch_keys
+    wanted = source.select(key).where(F.col(key).isNotNull()).distinct()
     seen = known.select(key).join(wanted, key, "left_semi")
     return batch.join(seen, key, "left_anti")
 

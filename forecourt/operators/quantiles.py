@@ -24,10 +24,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from forecourt.operators.keys import with_keys
 from forecourt.session import stage
 
-# A group up to this many rows is aggregated in one task.
-HOT_ROWS = 4_000_000
+# A group up to this many rows is aggregated in one task (a map of at most that
+# many distinct values, of the order of 100 MB).
+HOT_ROWS = 1_000_000
 
 FINE_BITS = 20      # 2^20 fine buckets per doubling of the magnitude
 COARSE_BITS = 14    # 2^14 fine buckets per coarse one
@@ -134,7 +136,7 @@ def grouped_stats(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Colum
     """One row per non-null key: ``aggregates`` plus exact ``medians``
     (output name -> value column), in one shuffle for all ordinary groups."""
     group = list(keys)
-    rows = df.dropna(subset=group)
+    rows = with_keys(df, group)
     if not medians:
         return rows.groupBy(*group).agg(*aggregates)
     hot = staged_hot_keys(rows, group, hot_rows)

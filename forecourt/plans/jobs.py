@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt import fixed_values as fixed
-from forecourt.operators.keys import drop_known_keys, first_per_key
+from forecourt.operators.keys import drop_known_keys, first_per_key, with_keys
 from forecourt.operators.routing import split_rejected
 from forecourt.operators.shape import SILVER
 from forecourt.plans import gold
@@ -82,11 +82,15 @@ def pending_files(spark: SparkSession, raw_path: str, log: DataFrame, glob: str
 
 
 def new_silver(staged: DataFrame, stored: DataFrame) -> DataFrame:
-    """Valid staged rows, one per key (first in file order), not stored yet."""
+    """Valid staged rows, one per key (first in file order), not stored yet.
+
+    Repeats go first: the rank cuts them before the shuffle, so that a key with
+    many copies reaches the join as one row.
+    """
     valid, _ = split_rejected(staged)
     order = ["_source_file", "_block_start", "_row_in_task"]
     firsts = first_per_key(valid, [fixed.BUSINESS_KEY], order)
-    return drop_known_keys(firsts, stored, fixed.BUSINESS_KEY).select(*fixed.SILVER_COLUMNS)
+    return drop_known_keys(firsts, stored, fixed.BUSINESS_KEY, valid).select(*fixed.SILVER_COLUMNS)
 
 
 def stage_raw(raw: DataFrame, path: str, run_id: str, run_ts: str, source_file=base_name,
@@ -146,7 +150,7 @@ def run_silver(spark: SparkSession, raw_path: str, silver_root: str, full_refres
 
     written = lake.read(spark).where(F.col("_pipeline_run_id") == run_id)
     stats = file_statistics(staged, written, run_id, run_ts)
-    write_parquet(stats.coalesce(1), lake.file_log, "overwrite" if full_refresh else "append")
+    write_parquet(stats, lake.file_log, "overwrite" if full_refresh else "append")
     drop_path(spark, staging)
     details = lake.read_log(spark).where(F.col("run_id") == run_id)
     totals = details.agg(F.count("*"), F.sum("raw"), F.sum("silver"), F.sum("quarantined"),
@@ -163,10 +167,10 @@ def gold_tables(silver: DataFrame, as_of: datetime | str | None = None,
     clean = gold.clean_listings(silver, as_of_year)
     return {
         "gold_listings_enriched": (gold.listings_enriched(clean, as_of, as_of_year), clean),
-        "gold_market_summary": (gold.market_summary(clean), clean.dropna(subset=fixed.MARKET_KEYS)),
+        "gold_market_summary": (gold.market_summary(clean), with_keys(clean, fixed.MARKET_KEYS)),
         "gold_price_segments": (gold.price_segments(clean, as_of_year), clean),
         "gold_dealer_performance": (gold.dealer_performance(clean, as_of_year),
-                                    clean.dropna(subset=fixed.DEALER_KEYS)),
+                                    with_keys(clean, fixed.DEALER_KEYS)),
         "gold_depreciation_curve": (gold.depreciation_curve(clean, as_of_year),
                                     gold.within_curve(clean, as_of_year)),
     }
@@ -183,7 +187,7 @@ def save_tables(spark: SparkSession, root: str, tables: dict[str, tuple[DataFram
         rows = 0 if empty else write_parquet(table, f"{root}/{name}")
         entries.append((run_id, run_ts, name, rows, len(table.columns), empty))
     log_path = f"{root}/{fixed.META_DIR}/run_log"
-    write_parquet(spark.createDataFrame(entries, RUN_LOG_SCHEMA).coalesce(1), log_path, "append")
+    write_parquet(spark.createDataFrame(entries, RUN_LOG_SCHEMA).coalesce(1), log_path, "append")  # one row per table
     return spark.read.schema(RUN_LOG_SCHEMA).parquet(log_path)
 
 

@@ -68,7 +68,8 @@ def string_profile(df: DataFrame, columns: Sequence[str] | None = None, k: int =
     stats = _per_column(df, chosen, lambda c: {
         "non_null_count": F.count(c), "non_empty_count": F.count_if(is_filled(c))})
     values = value_frequencies(df, chosen, keep=is_filled("value"))
-    distinct = values.groupBy("column").agg(F.count("*").alias("unique_count"))
+    # uses n, so that both branches read the same counted values (one shuffle)
+    distinct = values.groupBy("column").agg(F.count_if(F.col("n") > 0).alias("unique_count"))
     listed = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("r"), "value")))
     best = top_values(values, k).groupBy("column").agg(
         F.transform(listed, lambda x: F.struct(x["value"].alias("value"), (-x["r"]).alias("n")))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.operators.frequency import pivot_sum
-from forecourt.operators.keys import keep_keys, top_keys
+from forecourt.operators.keys import keep_keys, top_keys, with_keys
 from forecourt.operators.quantiles import HOT_ROWS, grouped_stats
 
 
@@ -35,7 +35,7 @@ def price_vs_mileage(market: DataFrame, k: int = 10) -> DataFrame:
 def year_price_trend(market: DataFrame, k: int = 5) -> DataFrame:
     """Mean group price per model year of the leading makes."""
     leading = keep_keys(market, top_keys(market, "make", "listing_count", k), "make")
-    return (leading.dropna(subset=["year"]).groupBy("make", "year")
+    return (with_keys(leading, ["year"]).groupBy("make", "year")
             .agg(F.avg("price_mean").alias("price_mean")).orderBy("make", "year"))
 
 
@@ -53,7 +53,7 @@ def listing_heatmap(market: DataFrame, k: int = 10, from_year: int = 2015,
 def price_variability(market: DataFrame, k: int = 15, min_listings: int = 50) -> DataFrame:
     """Price variation per make, weighted by listings, widest first."""
     cv, n = F.col("price_cv_pct"), F.col("listing_count")
-    table = market.dropna(subset=["make"]).groupBy("make").agg(
+    table = with_keys(market, ["make"]).groupBy("make").agg(
         F.try_divide(F.sum(cv * n), F.sum(F.when(cv.isNotNull(), n))).alias("weighted_cv"),
         F.sum(n).alias("total_listings"))
     return (table.where(F.col("weighted_cv").isNotNull() & (F.col("total_listings") >= min_listings))
@@ -62,7 +62,7 @@ def price_variability(market: DataFrame, k: int = 15, min_listings: int = 50) ->
 
 def mpg_by_body(market: DataFrame, min_listings: int = 20) -> DataFrame:
     """Mean combined economy per body type, thirstiest first."""
-    table = market.dropna(subset=["bodytype"]).groupBy("bodytype").agg(
+    table = with_keys(market, ["bodytype"]).groupBy("bodytype").agg(
         F.avg("avg_mpg_combined").alias("avg_mpg"), F.sum("listing_count").alias("count"))
     return (table.where((F.col("count") >= min_listings) & (F.col("avg_mpg") > 0))
             .orderBy("avg_mpg", "bodytype"))
@@ -70,7 +70,7 @@ def mpg_by_body(market: DataFrame, min_listings: int = 20) -> DataFrame:
 
 def discount_by_make(market: DataFrame, k: int = 15, min_listings: int = 50) -> DataFrame:
     """Mean discount per make, deepest first."""
-    table = market.dropna(subset=["make"]).groupBy("make").agg(
+    table = with_keys(market, ["make"]).groupBy("make").agg(
         F.avg("avg_discount_pct").alias("avg_disc"), F.sum("listing_count").alias("count"))
     return (table.where(F.col("count") >= min_listings)
             .orderBy(F.desc_nulls_last("avg_disc"), "make").limit(k))

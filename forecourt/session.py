@@ -18,7 +18,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 

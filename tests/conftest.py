@@ -12,7 +12,7 @@ from forecourt.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", "local[4]", **{
-        "spark.sql.shuffle.partitions": "4", "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": "4", "spark.sql.maxMetadataStringLength": "10000", "spark.ui.showConsoleProgress": "false",
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="forecourt-tests-")})
     session.sparkContext.setLogLevel("ERROR")
     yield session
