@@ -127,10 +127,20 @@ def _ordered(names) -> list[str]:
     return fixed_order + [c for c in names if c not in fixed.SILVER_COLUMNS]
 
 
+_VIEWS: dict[tuple, DataFrame] = {}
+
+
 def listings(spark: SparkSession, sf_dir: str, dealer: bool = False,
              handles: bool = False) -> DataFrame:
     """Listings in silver shape; ``dealer`` adds the columns that need the
-    supplier, nation and region joins."""
+    supplier, nation and region joins.  The analysed plan is kept per session."""
+    at = (spark.sparkContext.applicationId, id(spark), sf_dir, dealer, handles)
+    if at not in _VIEWS:
+        _VIEWS[at] = _listings(spark, sf_dir, dealer, handles)
+    return _VIEWS[at]
+
+
+def _listings(spark: SparkSession, sf_dir: str, dealer: bool, handles: bool) -> DataFrame:
     rows = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber").join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"), "left")
     chosen = {**VEHICLE, **LINEAGE}

@@ -15,7 +15,7 @@ from forecourt.operators.routing import split_rejected
 from forecourt.operators.shape import SILVER
 from forecourt.plans import gold
 from forecourt.plans.silver import silver_rows
-from forecourt.session import drop_path, fresh_path, path_exists
+from forecourt.session import drop_path, fresh_path, path_exists, stage
 from forecourt.sources.readers import RAW_GLOB, file_position, jsonl_scan
 from forecourt.sources.writers import write_parquet, write_quarantine, write_silver
 
@@ -84,13 +84,17 @@ def pending_files(spark: SparkSession, raw_path: str, log: DataFrame, glob: str
 def new_silver(staged: DataFrame, stored: DataFrame) -> DataFrame:
     """Valid staged rows, one per key (first in file order), not stored yet.
 
-    Repeats go first: the rank cuts them before the shuffle, so that a key with
-    many copies reaches the join as one row.
+    Decided on keys and positions alone; the wide rows are then fetched by their
+    row number.  The decision is written first: a small one is broadcast and no
+    wide row moves, a large one joins on the row number, which no hot key skews.
     """
-    valid, _ = split_rejected(staged)
-    order = ["_source_file", "_block_start", "_row_in_task"]
-    firsts = first_per_key(valid, [fixed.BUSINESS_KEY], order)
-    return drop_known_keys(firsts, stored, fixed.BUSINESS_KEY, valid).select(*fixed.SILVER_COLUMNS)
+    key, row = fixed.BUSINESS_KEY, "_row_in_task"
+    order = ["_source_file", "_block_start", row]
+    valid = staged.where(F.col(fixed.REJECTION_COLUMN) == "")
+    # repeats go first: the rank cuts a key with many copies before any shuffle
+    firsts = first_per_key(valid.select(key, *order), [key], order)
+    chosen = stage(drop_known_keys(firsts, stored, key, valid).select(row), "chosen-rows")
+    return valid.join(chosen, row, "left_semi").select(*fixed.SILVER_COLUMNS)
 
 
 def stage_raw(raw: DataFrame, path: str, run_id: str, run_ts: str, source_file=base_name,

@@ -28,7 +28,7 @@ def percent_of(part: Column, whole: Column) -> Column:
     return F.coalesce(half_even(share, 2), F.lit(0.0))
 
 
-def _per_column(df: DataFrame, columns: Sequence[str], measures) -> DataFrame:
+def per_column(df: DataFrame, columns: Sequence[str], measures) -> DataFrame:
     """One row per column from one aggregation over the whole table.
     ``measures(c)`` maps names to aggregates of column ``c``."""
     names = list(measures(columns[0]))
@@ -51,7 +51,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None,
         return {"count": F.count(c), "mean": F.avg(value), "std": F.stddev_samp(value),
                 "min": F.min(value), "max": F.max(value)}
 
-    stats = _per_column(df, chosen, measures)
+    stats = per_column(df, chosen, measures)
     quartiles = exact_quantiles(stack_columns(df, chosen, "double"), ["column"], "value",
                                 [0.25, 0.5, 0.75], hot_rows)
     missing = F.col("_rows") - F.col("count")
@@ -65,7 +65,7 @@ def string_profile(df: DataFrame, columns: Sequence[str] | None = None, k: int =
     """Non-null, filled, null and distinct counts per text column, with its top
     ``k`` values as an array of (value, n)."""
     chosen = list(columns or string_columns(df))
-    stats = _per_column(df, chosen, lambda c: {
+    stats = per_column(df, chosen, lambda c: {
         "non_null_count": F.count(c), "non_empty_count": F.count_if(is_filled(c))})
     values = value_frequencies(df, chosen, keep=is_filled("value"))
     # uses n, so that both branches read the same counted values (one shuffle)
