@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt import fixed_values as fixed
+from forecourt import functions as fn
 from forecourt.catalog.listings import (AS_OF, AS_OF_YEAR, clean_cte, listings, r, with_listings)
+from forecourt.functions import accident_flag, age_in_years, half_even
 from forecourt.operators.frequency import (most_frequent, sorted_distinct_joined, top_n_joined)
 from forecourt.operators.keys import keep_keys, top_keys
+from forecourt.operators.shape import drop_columns
 from forecourt.plans import gold, summaries
 from forecourt.session import fresh_path
 from forecourt.sources.writers import write_parquet
@@ -18,11 +21,11 @@ ORACLES: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
-    def register(fn):
-        QUERIES[name] = fn
+    def register(build):
+        QUERIES[name] = build
         if sql is not None:
             ORACLES[name] = sql
-        return fn
+        return build
     return register
 
 
@@ -253,7 +256,6 @@ def makes_offered(spark, sf_dir):
 SELECT dealer_type, {r(f'avg(CASE WHEN {ACCIDENT} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100', 2)} AS pct_accident,
   {r(f'avg({AS_OF_YEAR} - year)', 2)} AS avg_vehicle_age FROM clean GROUP BY dealer_type"""))
 def accident_share(spark, sf_dir):
-    from forecourt.functions import accident_flag, age_in_years, half_even
     return clean(spark, sf_dir).groupBy("dealer_type").agg(
         half_even(F.avg(accident_flag("accident_history").cast("double")) * 100.0, 2).alias("pct_accident"),
         half_even(F.avg(age_in_years("year", AS_OF_YEAR)), 2).alias("avg_vehicle_age"))
@@ -315,8 +317,6 @@ def _row_functions(name: str, sql_columns: dict[str, str], make_columns):
 
 
 def _register_functions() -> None:
-    from forecourt import functions as fn
-
     _row_functions("price_segment", {"price_segment": PRICE_CASE},
                    lambda: {"price_segment": gold.price_segment()})
     _row_functions("mileage_band", {"mileage_band": MILEAGE_CASE},
@@ -381,7 +381,6 @@ def inventory_tier(spark, sf_dir):
 
 @query("drop_column_list", gold_sql(f"""SELECT * EXCLUDE ({FACT_EXCLUDES}) FROM clean"""))
 def drop_column_list(spark, sf_dir):
-    from forecourt.operators.shape import drop_columns
     return drop_columns(clean(spark, sf_dir, dealer=True), fixed.ENRICHED_DROPS)
 
 
@@ -433,7 +432,6 @@ def price_vs_mileage(spark, sf_dir):
 SELECT make, year, {r('avg(price_mean)', 6)} AS price_mean FROM market SEMI JOIN front_makes USING (make)
 GROUP BY make, year""", leading(5)))
 def year_price_trend(spark, sf_dir):
-    from forecourt.functions import half_even
     return summaries.year_price_trend(stored_market(spark, sf_dir)).withColumn(
         "price_mean", half_even("price_mean", 6))
 
@@ -454,7 +452,6 @@ SELECT make, {r('weighted_cv', 6)} AS weighted_cv, total_listings FROM (
     sum(listing_count)::BIGINT AS total_listings FROM market GROUP BY make)
 WHERE weighted_cv IS NOT NULL AND total_listings >= 50 ORDER BY weighted_cv DESC, make LIMIT 15"""))
 def price_variability(spark, sf_dir):
-    from forecourt.functions import half_even
     return summaries.price_variability(stored_market(spark, sf_dir)).withColumn(
         "weighted_cv", half_even("weighted_cv", 6))
 
@@ -463,7 +460,6 @@ def price_variability(spark, sf_dir):
 SELECT bodytype, {r('avg(avg_mpg_combined)', 6)} AS avg_mpg, sum(listing_count)::BIGINT AS count
 FROM market GROUP BY bodytype HAVING sum(listing_count) >= 20 AND avg(avg_mpg_combined) > 0"""))
 def mpg_by_body(spark, sf_dir):
-    from forecourt.functions import half_even
     return summaries.mpg_by_body(stored_market(spark, sf_dir)).withColumn(
         "avg_mpg", half_even("avg_mpg", 6))
 
@@ -474,7 +470,6 @@ SELECT make, {r('avg_disc', 6)} AS avg_disc, count FROM (
   FROM market GROUP BY make HAVING sum(listing_count) >= 50
   ORDER BY avg_disc DESC NULLS LAST, make LIMIT 15)"""))
 def discount_by_make(spark, sf_dir):
-    from forecourt.functions import half_even
     return summaries.discount_by_make(stored_market(spark, sf_dir)).withColumn(
         "avg_disc", half_even("avg_disc", 6))
 
@@ -492,7 +487,6 @@ def leading_makes_listings(spark, sf_dir):
 SELECT model, {r('sum(price_mean * listing_count) / sum(listing_count)', 6)} AS weighted_price,
   sum(listing_count)::BIGINT AS listings FROM market GROUP BY model HAVING sum(listing_count) >= 50"""))
 def weighted_mean_price(spark, sf_dir):
-    from forecourt.functions import half_even
     market, n = stored_market(spark, sf_dir), F.col("listing_count")
     return market.groupBy("model").agg(
         half_even(F.sum(F.col("price_mean") * n) / F.sum(n), 6).alias("weighted_price"),

@@ -11,7 +11,7 @@ from forecourt.catalog.gold_queries import clean, gold_sql
 from forecourt.catalog.listings import (AS_OF, AS_OF_YEAR, RUN_ID, RUN_TS, listings, r, table,
                                         with_listings)
 from forecourt.operators import frequency, keys, routing, shape
-from forecourt.plans import coverage, gold, jobs, profile, quality, silver
+from forecourt.plans import coverage, jobs, profile, quality, silver
 from forecourt.session import fresh_path
 from forecourt.sources import manifest, readers, writers
 from forecourt.streaming.incremental import incremental_silver_stream
@@ -21,11 +21,11 @@ ORACLES: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
-    def register(fn_):
-        QUERIES[name] = fn_
+    def register(build):
+        QUERIES[name] = build
         if sql is not None:
             ORACLES[name] = sql
-        return fn_
+        return build
     return register
 
 
