@@ -79,3 +79,27 @@ def staged(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
+
+
+BIT_MAP_BITS = 1 << 23   # 1 MB, whatever it stands for
+
+
+def set_bits(hashes: DataFrame) -> bytes:
+    """A bit map of ``BIT_MAP_BITS`` bits with that of every ``h`` (long) set.
+
+    It is put together on the executors; the driver gets 256 rows of 4 kB at most.
+    """
+    spot = (F.col("h").bitwiseAND(BIT_MAP_BITS - 1) + 1).alias("spot")
+    parts = (hashes.select(spot).groupBy(F.bitmap_bucket_number("spot").alias("k"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits")).collect())
+    out = bytearray(BIT_MAP_BITS >> 3)
+    for part in parts:
+        at = (part.k - 1) * 4096
+        out[at:at + 4096] = part.bits
+    return bytes(out)
+
+
+def with_bit(bits: bytes, h: int) -> int:
+    """Whether the bit of ``h`` is set: always, if ``h`` was among the hashes."""
+    h &= BIT_MAP_BITS - 1
+    return bits[h >> 3] >> (h & 7) & 1
