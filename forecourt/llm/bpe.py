@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import base64
 import os
-import re
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -28,7 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 VOCABULARY_BYTES = 64 << 20   # bound on the vocabulary file that is sent to tasks
-PIECES_KEPT = 400_000         # bound on a worker's caches
+PIECES_KEPT = 250_000         # bounds on a worker's caches, in entries
+PAIRS_KEPT = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -50,7 +50,15 @@ class PrefixBpe:
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"the vocabulary lacks {len(missing)} single bytes")
-        self.parts: dict[int, tuple[int, int]] = {}
+        # Automaton over the tokens, its steps filled in as they are met.  A state is
+        # the longest end of a prefix that some token begins with; it knows the
+        # tokens that end there, the longest first.
+        self.starts = {t[:i] for t in ranks for i in range(1, len(t) + 1)}
+        self.state_of: dict[bytes, int] = {b"": 0}
+        self.states: list[bytes] = [b""]
+        self.ending: list[tuple[tuple[int, int], ...]] = [()]
+        self.steps: dict[int, int] = {}
+        self.parts: dict[int, tuple[int, int] | None] = {}
         self.fits: dict[tuple[int, int], bool] = {}
 
     def _halves(self, token: int) -> tuple[int, int] | None:
@@ -95,18 +103,41 @@ class PrefixBpe:
                 before, a = a, ha[1]
             else:
                 break
-        if len(self.fits) >= 1_000_000:
+        if len(self.fits) >= PAIRS_KEPT:
             self.fits.clear()
         self.fits[key] = ok
         return ok
 
-    def extend(self, data: bytes, last: list[int], stop: int | None = None) -> None:
-        """Fill ``last`` (last token of each prefix, ``last[0]`` unused) up to ``stop``."""
-        get, longest = self.ranks.get, self.longest
-        for end in range(len(last), (len(data) if stop is None else stop) + 1):
-            for start in range(max(0, end - longest), end):
-                token = get(data[start:end])
-                if token is not None and (start == 0 or self.compatible(last[start], token)):
+    def _step(self, state: int, byte: int) -> int:
+        """The state after one more byte."""
+        end = self.states[state] + bytes([byte])
+        while end not in self.starts:
+            end = end[1:]
+        if end not in self.state_of:
+            self.state_of[end] = len(self.states)
+            self.states.append(end)
+            self.ending.append(tuple((len(end) - i, self.ranks[end[i:]])
+                                     for i in range(len(end)) if end[i:] in self.ranks))
+        self.steps[state << 8 | byte] = self.state_of[end]
+        return self.state_of[end]
+
+    def extend(self, data: bytes, last: list[int], states: list[int], stop: int | None = None) -> None:
+        """Fill ``last`` and ``states`` (last token and automaton state of each prefix,
+        those of the empty one at 0) up to the prefix of ``stop`` bytes."""
+        step, fits, ending = self.steps.get, self.fits.get, self.ending
+        state = states[-1]
+        for at in range(len(last) - 1, len(data) if stop is None else stop):
+            byte = data[at]
+            after = step(state << 8 | byte)
+            state = self._step(state, byte) if after is None else after
+            states.append(state)
+            for size, token in ending[state]:
+                if size > at:
+                    last.append(token)
+                    break
+                before = last[at + 1 - size]
+                ok = fits((before, token))
+                if ok or ok is None and self.compatible(before, token):
                     last.append(token)
                     break
             else:
@@ -126,15 +157,15 @@ class PrefixBpe:
         """Each piece's ids.  In sorted order a piece takes over the last tokens of
         the prefix it shares with the one before and appends the rest."""
         out: dict[bytes, list[int]] = {}
-        before, last = b"", [-1]
+        before, last, states = b"", [-1], [0]
         for data in sorted(pieces):
             whole = self.ranks.get(data)
             if whole is not None:
                 out[data] = [whole]
                 continue
             same = len(os.path.commonprefix((before, data)))
-            del last[same + 1:]
-            self.extend(data, last)
+            del last[same + 1:], states[same + 1:]
+            self.extend(data, last, states)
             out[data] = self.tokens(last)
             before = data
         return out
@@ -144,27 +175,28 @@ class PrefixTable:
     """Encoding of one growing or edited byte string (one piece, no pattern)."""
 
     def __init__(self, bpe: PrefixBpe, data: bytes = b""):
-        self.bpe, self.data, self.last = bpe, b"", [-1]
+        self.bpe, self.data, self.last, self.states = bpe, b"", [-1], [0]
         self.append(data)
 
     def append(self, data: bytes) -> None:
         self.data += data
-        self.bpe.extend(self.data, self.last)
+        self.bpe.extend(self.data, self.last, self.states)
 
     def replace(self, start: int, end: int, data: bytes) -> int:
         """Put ``data`` for the bytes ``start:end``; returns how many prefixes were
         computed.  A last token depends on the ``longest`` prefixes before it only,
         so once that many in a row behind the edit are as before, the rest is too."""
-        old, shift = self.last, len(data) - (end - start)
+        old, old_states, shift = self.last, self.states, len(data) - (end - start)
         self.data = self.data[:start] + data + self.data[end:]
-        self.last, same, at = old[:start + 1], 0, start
+        self.last, self.states, same, at = old[:start + 1], old_states[:start + 1], 0, start
         while at < len(self.data):
             at += 1
-            self.bpe.extend(self.data, self.last, at)
+            self.bpe.extend(self.data, self.last, self.states, at)
             behind = at - start - len(data)
             same = same + 1 if behind > 0 and self.last[at] == old[at - shift] else 0
             if same >= self.bpe.longest and behind >= self.bpe.longest:
                 self.last += old[at - shift + 1:]
+                self.states += old_states[at - shift + 1:]
                 break
         return at - start
 
@@ -179,47 +211,66 @@ class TextEncoder:
         import regex
 
         self.bpe, self.cut, self.cut_at_spaces = PrefixBpe(ranks), regex.compile(pattern), cut_at_spaces
-        self.pieces: dict[str, list[int]] = {}
-        self.chunks: dict[str, list[int]] = {}
-
-    def _chunks(self, text: str) -> list[str]:
-        """Parts of ``text`` that can be cut by the pattern one by one."""
-        if not self.cut_at_spaces or text[-1] == " " or _TWO_SPACES.search(text):
-            return [text]
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]] if first else [" " + x for x in rest]
-
-    def _learn(self, unknown: set[str]) -> dict[str, list[int]]:
-        cuts = {x: self.cut.findall(x) for x in unknown}
-        new = {p for ps in cuts.values() for p in ps}.difference(self.pieces)
+        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.after_space: dict[str, tuple[int, ...]] = {}   # of a space and the key
+
+    def _ids(self, cuts: list[list[str]]) -> list[tuple[int, ...]]:
+        """The ids of lists of pieces, each list's in one tuple."""
+        new = {p for ps in cuts for p in ps}.difference(self.pieces)
         found = self.bpe.encode_pieces({p.encode() for p in new})
-        known = self.pieces
-        if len(known) + len(new) > PIECES_KEPT:
-            known = {p: known[p] for ps in cuts.values() for p in ps if p not in new}
-            self.pieces = known
-        known.update((p, found[p.encode()]) for p in new)
-        return {x: [i for p in ps for i in known[p]] for x, ps in cuts.items()}
-
-    def encode(self, texts: list[str | None]) -> tuple[list[int], list[int]]:
-        """All ids in one list, and where each text's ids end (0 first)."""
-        parts = [self._chunks(t) if t else [] for t in texts]
-        used = set().union(*parts)
-        unknown = used.difference(self.chunks)
-        if len(self.chunks) + len(unknown) > PIECES_KEPT:
-            self.chunks = {x: self.chunks[x] for x in used - unknown}
-        learnt = self._learn(unknown)
-        self.chunks.update(learnt)
-        flat, ends, ids_of = [], [0], self.chunks.__getitem__
-        for p in parts:
-            flat.extend(chain.from_iterable(map(ids_of, p)))
-            ends.append(len(flat))
-        for x in learnt:  # a long unbroken text is no part to meet again
-            if len(x) > 64:
-                del self.chunks[x]
-        return flat, ends
-
-
-_TWO_SPACES = re.compile(r"\s\s")
+        learnt = {p: tuple(found[p.encode()]) for p in new}
+        both = self.pieces
+        both.update(learnt)
+        out = [both[ps[0]] if len(ps) == 1 else tuple(chain.from_iterable(map(both.__getitem__, ps)))
+               for ps in cuts]
+        if len(both) > PIECES_KEPT:   # keep what this round used
+            self.pieces = {p: both[p] for ps in cuts for p in ps} if len(learnt) < PIECES_KEPT else {}
+        return out
+
+    def _after_space(self, words: list[str]) -> list[tuple[int, ...]]:
+        """The ids of a space and each of ``words``, which hold no space."""
+        known = self.after_space
+        new = [w for w in words if w not in known]
+        plain = [w for w in new if w and not w[-1].isspace()]
+        cuts: dict[str, list[str]] = {w: self.cut.findall(" " + w) for w in set(new).difference(plain)}
+        at, current = iter(plain), []
+        for piece in self.cut.findall(" " + " ".join(plain)) if plain else ():
+            if piece[0] == " ":   # the only spaces are those between the words
+                current = cuts[next(at)] = []
+            current.append(piece)
+        learnt = dict(zip(cuts, self._ids(list(cuts.values()))))
+        out = [known[w] if w in known else learnt[w] for w in words]
+        if len(known) + len(learnt) > PIECES_KEPT:
+            known.clear()
+        known.update((w, ids) for w, ids in learnt.items() if len(w) <= 64)
+        return out
+
+    def encode(self, texts: pa.Array) -> pa.ListArray:
+        """An array of ids for each text."""
+        texts = pc.fill_null(texts, "")
+        whole = pc.or_(pc.match_substring_regex(texts, _SPACE_BESIDE_SPACE), not self.cut_at_spaces)
+        words = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        coded = words.flatten().dictionary_encode()
+        index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        begin = words.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+        begin = begin - begin[0]
+        # what a text begins with has no space before it; some texts are cut as a whole
+        heads = [self.cut.findall(t) for t in
+                 pc.if_else(whole, texts, pc.list_element(words, 0)).to_pylist()]
+        entries = self._after_space(coded.dictionary.to_pylist()) + self._ids(heads)
+        index[begin[:-1]] = len(coded.dictionary) + np.arange(len(texts))
+        sizes = np.fromiter(map(len, entries), dtype=np.int64, count=len(entries))
+        flat = np.fromiter(chain.from_iterable(entries), dtype=np.int32, count=int(sizes.sum()))
+        n = sizes[index]
+        ends = np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(n)))
+        shift = (np.cumsum(sizes) - sizes)[index] - ends[:-1]
+        ids = flat[np.repeat(shift, n) + np.arange(int(ends[-1]))]
+        return pa.ListArray.from_arrays(pa.array(ends[begin], pa.int32()), pa.array(ids))
+
+
+# A space at the end or beside another white-space character.
+_WHITE = r"[\t-\r\x1c-\x1f \x{85}\p{Z}]"
+_SPACE_BESIDE_SPACE = f" {_WHITE}|{_WHITE} | $"
 _ENCODERS: dict[tuple, TextEncoder] = {}
 
 
@@ -232,7 +283,7 @@ def _encoder(ranks: dict[bytes, int], pattern: str, cut_at_spaces: bool) -> Text
     return _ENCODERS[mark]
 
 
-def _slices(batch: pa.RecordBatch, at: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, at: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of rows of about ``most`` bytes of text (one row at least)."""
     lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False))
     run = np.cumsum(lengths.astype(np.int64)) // most
@@ -263,9 +314,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text
         encoder = _encoder(sent.value, pattern, cut_at_spaces)
         for batch in batches:
             for part in _slices(batch, at):
-                flat, ends = encoder.encode(part.column(at).to_pylist())
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
-                                               pa.array(np.array(flat, dtype=np.int32)))
+                ids = encoder.encode(part.column(at))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids],
                                                  names=[*part.schema.names, ids_col])
 
