@@ -162,3 +162,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, id_
                     F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
                     F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
                     (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated")))
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
+               text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose text holds a window of ``benchmark``.
+
+    Rows without an id are told apart by their text, as rows that share an id are.
+    """
+    key = F.xxhash64(F.col(text_col).cast("string"))
+    texts = docs.select(key.alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
+    windows, _ = staged(benchmark_windows(benchmark, item_col, item_text_col, width), "decontaminate-windows")
+    hit = window_places(texts, windows, width).select(F.col("doc_id").alias("__hit")).distinct()
+    return docs.join(hit, key == F.col("__hit"), "left_anti")

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import bpe, decontaminate, lines, simhash
+from forecourt.llm import (bpe, decontaminate, lines, paragraphs, replytrees, sharding, simhash, toxicity,
+                           vectors, wordpiece)
 from forecourt.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +50,37 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    return replytrees.conversation_digest(rows.unionByName(more))
+
+
+@query
+def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharding(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_wordpiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                  vocabulary("word_bpe_49k.json")).drop("text")

@@ -122,3 +122,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by_fp = named.join(least, "component").select(F.col("fp").alias("of"), "component_id")
     return each.join(by_fp, each.fp == by_fp.of).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: that of the smallest id,
+    and of several rows with this id that of the smallest text (nulls first).  Rows
+    without an id stay where a group has no id at all."""
+    groups = near_duplicates(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = groups.select(F.col("doc_id").alias("__id"), F.col("fingerprint").alias("__fp")).distinct()
+    rows = docs.join(chosen.select("__id").distinct(), docs[id_col].cast("long").eqNullSafe(F.col("__id")))
+    order = Window.partitionBy("__id").orderBy(text_col)
+    return (rows.withColumn("__row", F.row_number().over(order)).filter("__row = 1")
+            .select(*[docs[c] for c in docs.columns]))

@@ -31,9 +31,9 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 FIT_ROWS = 3000        # of each class, at most
 GRAM = 5               # bytes of an n-gram whose frequency is compared
-WINDOW, STEP = 112, 96  # bytes
+WINDOW, STEP = 48, 36  # bytes
 OWN_BYTES, COMMON_BYTES = 6000, 8192
-LEVEL = 3
+LEVEL = 6
 CUTS = (2, 4, 6, 8)    # saved bytes; how many windows pass each is weighed by the fit
 
 
