@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.llm import bpe, decontaminate, lines, simhash, toxicity
-from forecourt.llm.common import ship, staged, table
+from forecourt.llm.common import ship, staged, table, unused
 from forecourt.llm.queries import vocabulary
 
 
@@ -19,8 +19,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.5 or more go.  The model learns from the labels of ``sf_dir``
     and the texts at hand, held-out rows left out."""
     model = toxicity.fit(docs, table(ship(spark), sf_dir, "labels"), learn=~toxicity.held_out())
-    scored = toxicity.score(docs, model, score_col="__score")
-    return scored.filter(F.col("__score") < 0.5).drop("__score")
+    name = unused(docs, "score")
+    return toxicity.score(docs, model, score_col=name).filter(F.col(name) < 0.5).drop(name)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

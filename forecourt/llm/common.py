@@ -103,3 +103,11 @@ def with_bit(bits: bytes, h: int) -> int:
     """Whether the bit of ``h`` is set: always, if ``h`` was among the hashes."""
     h &= BIT_MAP_BITS - 1
     return bits[h >> 3] >> (h & 7) & 1
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

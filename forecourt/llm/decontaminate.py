@@ -23,7 +23,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import keyed_text, map_batches, set_bits, staged, with_bit
+from forecourt.llm.common import keyed_text, map_batches, set_bits, staged, unused, with_bit
 
 WIDTH = 10
 
@@ -173,5 +173,6 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, id_col
     key = F.xxhash64(F.col(text_col).cast("string"))
     texts = docs.select(key.alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
     windows, _ = staged(benchmark_windows(benchmark, item_col, item_text_col, width), "decontaminate-windows")
-    hit = window_places(texts, windows, width).select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(hit, key == F.col("__hit"), "left_anti")
+    name = unused(docs, "hit")
+    hit = window_places(texts, windows, width).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(hit, key == F.col(name), "left_anti")

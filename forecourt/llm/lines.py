@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import map_batches, set_bits, staged, with_bit
+from forecourt.llm.common import map_batches, set_bits, staged, unused, with_bit
 
 NEAR_CHARS = 16       # shorter lines are only compared for equality
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -183,14 +183,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     only share the id are ordered by a hash of the text.
     """
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    key, of, stay = unused(docs, "kept_id"), unused(docs, "kept_of"), unused(docs, "kept_lines")
     kept = kept_lines(slim, near_chars).select(
-        F.col("doc_id").alias("__id"), F.col("of").alias("__of"), F.col("kept").alias("__kept"))
-    joined = docs.join(kept, docs[id_col].cast("long").eqNullSafe(kept["__id"])
-                       & (F.xxhash64(docs[text_col].cast("string")) == kept["__of"]), "left")
-    lines = F.split(docs[text_col].cast("string"), "\n")
-    left = F.filter(lines, lambda line, i: (F.trim(line) == "")
-                    | F.array_contains(F.coalesce("__kept", F.array().cast("array<int>")), i.cast("int")))
-    return joined.select(*[F.array_join(left, "\n").alias(c) if c == text_col else docs[c] for c in docs.columns])
+        F.col("doc_id").alias(key), F.col("of").alias(of), F.col("kept").alias(stay))
+    text = F.col(text_col).cast("string")
+    joined = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col(key)) & (F.xxhash64(text) == F.col(of)), "left")
+    left = F.filter(F.split(text, "\n"), lambda line, i: (F.trim(line) == "")
+                    | F.array_contains(F.coalesce(stay, F.array().cast("array<int>")), i.cast("int")))
+    return joined.withColumn(text_col, F.array_join(left, "\n")).select(docs.columns)
 
 
 def line_digest(docs: DataFrame) -> DataFrame:

@@ -84,3 +84,45 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_wordpiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                   vocabulary("word_bpe_49k.json")).drop("text")
+
+
+_ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), {_ASCII}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES["op6_decontamination"] = f"""
+WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, x.part AS part, len(x.part) AS size FROM (
+        SELECT item_id, unnest([{{'part': w[i:i + least(10, len(w)) - 1]}} FOR i IN range(1, greatest(len(w) - 9, 1) + 1)]) AS x
+        FROM items WHERE len(w) > 0)),
+docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+places AS (
+    SELECT doc_id, size, i, w[i:i + size - 1] AS part FROM (
+        SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)),
+found AS (SELECT p.doc_id, p.i, p.size, v.item_id FROM places p JOIN windows v ON p.size = v.size AND p.part = v.part),
+hits AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS k FROM found) GROUP BY doc_id),
+per_doc AS (
+    SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(p.n, 0) AS BIGINT) AS n_items, sha256(coalesce(p.ids, '')) AS items_sha256,
+       coalesce(h.n, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hits h USING (doc_id) LEFT JOIN per_doc p USING (doc_id)
+"""
+
+ORACLES["op4_reply_trees"] = r"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+turns AS (
+    SELECT *, length(regexp_replace(role, '[\\<:]|###', '\\\0', 'g')) AS role_chars,
+           length(regexp_replace(text, '[\\<]|###', '\\\0', 'g')) AS text_chars FROM said)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(16 + role_chars + text_chars) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+""".replace("\\\\", "\\")

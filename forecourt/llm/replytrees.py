@@ -79,14 +79,19 @@ def read_loss(text: Column, spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: _unescape(F.substr(text, s["start"] + 1, s["end"] - s["start"]))), "")
 
 
+def _same(message: str) -> Column:
+    """The condition that ``message`` of ``tree`` is the message ``n`` of ``t``."""
+    return F.col("tree").eqNullSafe(F.col("t")) & (F.col(message) == F.col("n"))
+
+
 def _jumps(messages: DataFrame, most: int = 40) -> list[DataFrame]:
     """Tables of ``tree, node, up, total, depth``: in the k-th, ``up`` is the message
     2**k answers above (null beyond the root), ``total`` and ``depth`` sum the scores
     and count the messages from ``node`` to below ``up``.  In the last, no ``up`` is left
     but of messages that answer each other in a ring."""
-    known = messages.select("tree", F.col("node").alias("n")).distinct()
-    start = messages.join(known, messages.tree.eqNullSafe(known.tree) & (messages.parent == known.n), "left").select(
-        messages.tree, "node", F.col("n").alias("up"), F.coalesce("score", F.lit(0.0)).alias("total"),
+    known = messages.select(F.col("tree").alias("t"), F.col("node").alias("n")).distinct()
+    start = messages.join(known, _same("parent"), "left").select(
+        "tree", "node", F.col("n").alias("up"), F.coalesce("score", F.lit(0.0)).alias("total"),
         F.lit(1).cast("long").alias("depth"))
     tables = [staged(start, "replies-jump")[0]]
     for _ in range(most):
@@ -95,7 +100,7 @@ def _jumps(messages: DataFrame, most: int = 40) -> list[DataFrame]:
             break
         far = now.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("next"),
                          F.col("total").alias("more"), F.col("depth").alias("deeper"))
-        tables.append(staged(now.join(far, now.tree.eqNullSafe(far.t) & (now.up == far.n), "left").select(
+        tables.append(staged(now.join(far, _same("up"), "left").select(
             "tree", "node", F.col("next").alias("up"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
             (F.col("depth") + F.coalesce("deeper", F.lit(0))).alias("depth")), "replies-jump")[0])
     return tables
@@ -111,20 +116,20 @@ def branches(messages: DataFrame, per_tree: int | None = 1) -> DataFrame:
     Messages in a ring have no root and are in no branch.
     """
     tables = _jumps(messages)
-    inner = messages.select(F.col("tree").alias("t"), F.col("parent").alias("p")).dropna(subset=["p"]).distinct()
+    inner = messages.select(F.col("tree").alias("t"), F.col("parent").alias("n")).dropna(subset=["n"]).distinct()
     ends = tables[-1].filter("up is null")
-    leaves = ends.join(inner, ends.tree.eqNullSafe(inner.t) & (ends.node == inner.p), "left_anti")
+    leaves = ends.join(inner, _same("node"), "left_anti")
     if per_tree is not None:
         rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("depth")), "node"))
         leaves = leaves.withColumn("rank", rank).filter(F.col("rank") <= per_tree)
     paths = leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("above"))
     for k in range(len(tables) - 1, -1, -1):
         jump = tables[k].filter("up is not null").select(F.col("tree").alias("t"), F.col("node").alias("n"), "up")
-        higher = paths.join(jump, paths.tree.eqNullSafe(jump.t) & (paths.node == jump.n))
+        higher = paths.join(jump, _same("node"))
         paths = paths.unionAll(higher.select("tree", "leaf", F.col("up").alias("node"), F.col("above") + (1 << k)))
         paths = staged(paths, "replies-paths")[0]
     said = messages.select(F.col("tree").alias("t"), F.col("node").alias("n"), "role", "text")
-    whole = paths.join(said, paths.tree.eqNullSafe(said.t) & (paths.node == said.n))
+    whole = paths.join(said, _same("node"))
     turn = F.struct((-F.col("above")).alias("order"), "role", "text")
     return whole.groupBy("tree", "leaf").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
 

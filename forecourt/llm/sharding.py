@@ -39,34 +39,59 @@ def propagate(pieces: DataFrame, rows: int, loads: dict[int, int], n_shards: int
     """
     now, path = staged(pieces, "shards-pieces")
     quota = rows / n_shards * (1 + slack)
+    group = Window.partitionBy("g1", "g2")
     for k in range(rounds):
-        held = now.groupBy("g1", "g2", "shard").agg(F.sum("n").alias("held"))
-        goal = held.groupBy("g1", "g2").agg(F.max(F.struct("held", -F.col("shard"))).alias("best"))
-        goal = goal.select("g1", "g2", (-F.col("best")["col2"]).alias("goal"))
-        asking, asking_path = staged(now.join(goal, ["g1", "g2"]), "shards-asking")
-        demand = {r.goal: r.n for r in asking.filter("goal <> shard").groupBy("goal").agg(F.sum("n").alias("n")).collect()}
-        if not demand:
+        # the shards that a group should fill: the one that holds most of it, more if it needs them
+        held = now.groupBy("g1", "g2", "shard").agg(F.sum("n").alias("held")).select(
+            "g1", "g2", "shard", F.ceil(F.sum("held").over(group) / F.lit(max(quota, 1.0))).cast("int").alias("needs"),
+            F.row_number().over(group.orderBy(F.desc("held"), "shard")).alias("place"))
+        held = held.filter("place <= needs")
+        at_home = held.select("g1", "g2", "shard", F.lit(True).alias("home"))
+        seats = held.select("g1", "g2", F.col("place").alias("seat"), F.col("shard").alias("goal"))
+        needs = held.filter("place = 1").select("g1", "g2", "needs")
+        asking = (now.join(needs, ["g1", "g2"]).join(at_home, ["g1", "g2", "shard"], "left").withColumn(
+            "seat", F.pmod(F.xxhash64("g1", "g2", "origin"), F.col("needs")).cast("int") + 1).join(seats, ["g1", "g2", "seat"])
+            .select("g1", "g2", "origin", "shard", "n", F.when(F.col("home"), F.col("shard")).otherwise(F.col("goal")).alias("goal")))
+        asking, asking_path = staged(asking, "shards-asking")
+        wishes = {(r.shard, r.goal): r.n for r in asking.filter("goal <> shard").groupBy("shard", "goal")
+                  .agg(F.sum("n").alias("n")).collect()}   # n_shards squared at most
+        share, room = admitted(wishes, loads, quota, n_shards)
+        if not wishes or not any(share):
             drop_path(now.sparkSession, asking_path)
             break
-        room = {s: max(0.0, quota - loads.get(s, 0)) for s in range(n_shards)}
-        share = F.create_map(*[x for s in range(n_shards) for x in (F.lit(s), F.lit(min(1.0, room[s] / demand[s]) if s in demand else 0.0))])
-        left = F.create_map(*[x for s in range(n_shards) for x in (F.lit(s), F.lit(room[s]))])
-        goes = ((F.col("goal") != F.col("shard")) & (F.col("n") <= left[F.col("goal")])
-                & (_unit_hash("g1", "g2", "origin", F.lit(k)) < share[F.col("goal")]))
-        after, new_path = staged(asking.select("g1", "g2", "origin", F.when(goes, F.col("goal")).otherwise(F.col("shard"))
-                                               .alias("shard"), F.col("shard").alias("was"), "n"), "shards-pieces")
-        moved = after.filter("shard <> was").groupBy("was", "shard").agg(F.sum("n").alias("n")).collect()  # n_shards squared at most
+
+        def known(numbers: list[float]) -> F.Column:
+            return F.element_at(F.array(*map(F.lit, numbers)), F.col("goal") + 1)
+
+        goes = ((F.col("goal") != F.col("shard")) & (F.col("n") <= known(room))
+                & (_unit_hash("g1", "g2", "origin", F.lit(k)) < known(share)))
+        after, new_path = staged(asking.select(
+            "g1", "g2", "origin", F.when(goes, F.col("goal")).otherwise(F.col("shard")).alias("shard"),
+            F.col("shard").alias("was"), "n"), "shards-pieces")
+        moved = after.filter("shard <> was").groupBy("was", "shard").agg(F.sum("n").alias("n")).collect()
         for m in moved:
             loads[m.was] -= m.n
             loads[m.shard] = loads.get(m.shard, 0) + m.n
         for old in (path, asking_path):
             drop_path(now.sparkSession, old)
         now, path = after.drop("was"), new_path
-        if not moved:
-            break
     return now
 
 
+def admitted(wishes: dict[tuple[int, int], int], loads: dict[int, int], quota: float,
+             n_shards: int) -> tuple[list[float], list[float]]:
+    """For each shard the share of its askers that fits, and the rows it has room for,
+    given that other shards admit the shares of theirs."""
+    share, room = [1.0] * n_shards, [0.0] * n_shards
+    for _ in range(30):
+        for s in range(n_shards):
+            leaving = sum(n * share[b] for (a, b), n in wishes.items() if a == s)
+            asked = sum(n for (_, b), n in wishes.items() if b == s)
+            room[s] = max(0.0, quota - loads.get(s, 0) + leaving)
+            share[s] = min(1.0, room[s] / asked) if asked else 0.0
+    return share, room
+
+
 def numbered(df: DataFrame, *order: str, label: str = "number") -> DataFrame:
     """``df`` with the place of each row in ``order``, from 0, without gaps.
 

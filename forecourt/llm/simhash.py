@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import keyed_text, map_batches, staged
+from forecourt.llm.common import keyed_text, map_batches, staged, unused
 from forecourt.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -128,9 +128,9 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` with one row of each group of near duplicates: that of the smallest id,
     and of several rows with this id that of the smallest text (nulls first).  Rows
     without an id stay where a group has no id at all."""
-    groups = near_duplicates(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = groups.select(F.col("doc_id").alias("__id"), F.col("fingerprint").alias("__fp")).distinct()
-    rows = docs.join(chosen.select("__id").distinct(), docs[id_col].cast("long").eqNullSafe(F.col("__id")))
-    order = Window.partitionBy("__id").orderBy(text_col)
-    return (rows.withColumn("__row", F.row_number().over(order)).filter("__row = 1")
-            .select(*[docs[c] for c in docs.columns]))
+    first, row = unused(docs, "first_id"), unused(docs, "row")
+    groups = near_duplicates(docs, id_col, text_col)
+    chosen = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(first)).distinct()
+    rows = docs.join(chosen, docs[id_col].cast("long").eqNullSafe(F.col(first)))
+    order = Window.partitionBy(first).orderBy(text_col)
+    return rows.withColumn(row, F.row_number().over(order)).filter(F.col(row) == 1).drop(row, first)

@@ -142,27 +142,38 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50
     return w
 
 
-def train(rows: list[tuple[str | None, int]]) -> Model:
-    """A model from texts and labels; without rows of both classes every score is
-    the share of label 1 (a half without any row)."""
-    for_dictionaries, for_curve = rows[0::2], rows[1::2]
-    own = [{x for text, y in for_dictionaries if y == k for x in lines_of(text)} for k in (0, 1)]
+def dictionaries(rows: list[tuple[str | None, int]]) -> tuple[bytes, bytes]:
+    """Contents of the ordinary and of the toxic dictionary, of the same size."""
+    own = [{x for text, y in rows if y == k for x in lines_of(text)} for k in (0, 1)]
     both = [telling_strings(own[k], telling_grams(own[k], own[1 - k]), OWN_BYTES) for k in (0, 1)]
-    common = b"\n".join(sorted(own[0], key=lambda x: (hash_of(x), x)))[:COMMON_BYTES].ljust(64, b" ")
+    prose = b"\n".join(sorted(own[0], key=lambda x: (hash_of(x), x))).ljust(64, b" ")
     size = max(map(len, both))
-    filler = b"\n".join(sorted(own[0], key=lambda x: (-hash_of(x), x)))
-    ordinary = (filler[:size - len(both[0])] + both[0] + common)
-    toxic = (filler[:size - len(both[1])] + both[1] + common)
-    a, b = _compressor(ordinary), _compressor(toxic)
-    x = np.array([features(t, a, b) for t, _ in for_curve] or [features("", a, b)])
-    y = np.array([y for _, y in for_curve] or [0.5], dtype=float)
+    return tuple(prose[::-1][:size - len(x)] + x + prose[:COMMON_BYTES] for x in both)
+
+
+def train(rows: list[tuple[str | None, int]]) -> Model:
+    """A model from texts and labels; without rows of both classes every score is
+    the share of label 1 (a half without any row).
+
+    The curve is fitted to distances under dictionaries that did not see the text:
+    each half of the rows is compressed with those of the other half.
+    """
+    half = [rows[0::2], rows[1::2]]
+    x, y = [], []
+    for part, other in (half, half[::-1]):
+        a, b = map(_compressor, dictionaries(other))
+        x += [features(t, a, b) for t, _ in part]
+        y += [label for _, label in part]
+    ordinary, toxic = dictionaries(rows)
+    x = np.array(x or [features("", _compressor(ordinary), _compressor(toxic))])
+    y = np.array(y or [0.5], dtype=float)
     mean, scale = x.mean(axis=0), x.std(axis=0)
     scale[scale < 1e-9] = 1.0
     w = np.zeros(x.shape[1] + 1)
     if 0 < y.mean() < 1 and len(y) > 1:
         w = _logistic((x - mean) / scale, y)
     else:
-        share = min(max(float(np.mean([y for _, y in rows])) if rows else 0.5, 0.001), 0.999)
+        share = min(max(float(y.mean()), 0.001), 0.999)
         w[-1] = math.log(share / (1 - share))
     return Model(ordinary, toxic, mean, scale, w)
 

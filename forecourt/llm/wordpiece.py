@@ -24,7 +24,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 WORDS_KEPT = 250_000         # bound on a worker's cache
 VOCABULARY_BYTES = 64 << 20  # bound on the vocabulary that is sent to tasks
-END = ""               # stands for a vocabulary's end-of-word mark
+END = "\ue000"         # stands for a vocabulary's end-of-word mark
 
 
 class LongestMatch:
