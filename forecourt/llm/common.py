@@ -7,6 +7,7 @@ import os
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,6 +106,13 @@ def with_bit(bits: bytes, h: int) -> int:
     return bits[h >> 3] >> (h & 7) & 1
 
 
+def with_bits(bits: bytes, h: np.ndarray) -> np.ndarray:
+    """:func:`with_bit` for an array of 64-bit hashes."""
+    h = h & np.uint64(BIT_MAP_BITS - 1)
+    table = np.frombuffer(bits, dtype=np.uint8)
+    return (table[(h >> np.uint64(3)).astype(np.int64)] >> (h & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, lengthened until ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}

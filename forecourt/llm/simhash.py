@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import keyed_text, map_batches, staged, unused
+from forecourt.llm.common import keyed_text, map_batches, set_bits, staged, unused, with_bits
 from forecourt.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -76,21 +76,51 @@ def _variants(column: str, masks: list[int]) -> F.Column:
     return F.explode(F.transform(F.lit(np.array(masks, dtype=np.int64)), lambda m: F.col(column).bitwiseXOR(m)))
 
 
-def with_partners(fps: DataFrame) -> DataFrame:
-    """``fp`` of the distinct fingerprints that meet another one on two of the
-    three blocks, within one bit of each (for ``half = 2``)."""
+def _projected(fps: DataFrame) -> DataFrame:
+    """``fp, key``: each fingerprint with its variants within a bit on two of the blocks.
+    In a key the dropped block holds the number of the projection."""
     keys = None
     for k, (a, b) in enumerate(_BLOCKS):
         kept = tuple(i for i in range(64) if not a <= i < b)
-        # the dropped block holds the number of the projection
         base = F.col("fp").bitwiseAND(F.lit(_signed(sum(1 << i for i in kept)))).bitwiseOR(F.lit(_signed(k << a)))
         part = fps.select("fp", base.alias("base")).select("fp", _variants("base", ball_masks(1, kept)).alias("key"))
         keys = part if keys is None else keys.unionAll(part)
+    return keys
+
+
+def _with_key(fps: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``fp, key`` of :func:`_projected` for the keys in ``wanted``.
+
+    A bit map of fixed size goes to the tasks, so that nearly all other keys are left
+    out before the join instead of being shuffled for it.
+    """
+    folded = F.col("key").bitwiseXOR(F.shiftrightunsigned("key", 22)).bitwiseXOR(F.shiftrightunsigned("key", 43))
+    bits = fps.sparkSession.sparkContext.broadcast(set_bits(wanted.select(folded.alias("h"))))
+    masks, tags, flips = [], [], []
+    for k, (a, b) in enumerate(_BLOCKS):
+        kept = tuple(i for i in range(64) if not a <= i < b)
+        masks.append(sum(1 << i for i in kept))
+        tags.append(k << a)
+        flips.append(np.array(ball_masks(1, kept), dtype=np.int64).view(np.uint64))
+
+    def run(cols: dict[str, list]) -> dict[str, np.ndarray]:
+        fp = np.array(cols["fp"], dtype=np.int64).view(np.uint64)[:, None]
+        keys = np.concatenate([(fp & np.uint64(m) | np.uint64(t)) ^ f for m, t, f in zip(masks, tags, flips)], axis=1)
+        h = keys ^ keys >> np.uint64(22) ^ keys >> np.uint64(43)
+        row, col = np.nonzero(with_bits(bits.value, h))
+        return {"fp": fp[row, 0].view(np.int64), "key": keys[row, col].view(np.int64)}
+
+    return map_batches(fps.select("fp"), run, "fp long, key long", rows=4096).join(wanted, "key", "left_semi")
+
+
+def with_partners(fps: DataFrame) -> DataFrame:
+    """``fp`` of the distinct fingerprints that meet another one on two of the
+    three blocks, within one bit of each (for ``half = 2``)."""
     # two ends suffice where two meet; the rare larger meetings are joined back
-    met = keys.groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("b"), F.count("*").alias("n"))
+    met = _projected(fps).groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("b"), F.count("*").alias("n"))
     met, _ = staged(met.filter("n > 1"), "simhash-met")
     ends = met.select(F.explode(F.array("a", "b")).alias("fp"))
-    between = keys.join(met.filter("n > 2").select("key"), "key", "left_semi").select("fp")
+    between = _with_key(fps, met.filter("n > 2").select("key")).select("fp")
     return ends.unionAll(between).distinct()
 
 

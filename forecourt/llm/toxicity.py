@@ -34,6 +34,7 @@ GRAM = 5               # bytes of an n-gram whose frequency is compared
 WINDOW, STEP = 48, 36  # bytes
 OWN_BYTES, COMMON_BYTES = 6000, 8192
 LEVEL = 6
+MISS_COST = 3.0       # what a missed toxic text weighs against a clean one that is flagged
 CUTS = (2, 4, 6, 8)    # saved bytes; how many windows pass each is weighed by the fit
 
 
@@ -172,6 +173,7 @@ def train(rows: list[tuple[str | None, int]]) -> Model:
     w = np.zeros(x.shape[1] + 1)
     if 0 < y.mean() < 1 and len(y) > 1:
         w = _logistic((x - mean) / scale, y)
+        w[-1] += math.log(MISS_COST)
     else:
         share = min(max(float(y.mean()), 0.001), 0.999)
         w[-1] = math.log(share / (1 - share))
