@@ -84,10 +84,10 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     monthly = F.struct(*[F.col(c).alias(f) for f, c in fixed.MONTHLY_FIELDS.items()])
     body = F.to_json(F.struct(*plain, dealer.alias("dealer"), monthly.alias("monthlyPaymentEstimate"),
                               F.lit(1).alias("sortTPScore"), F.lit("x").alias("unknownKey")))
-    pieces = [F.lit("{")]
+    rows, pieces = rows.withColumn("body", body), [F.lit("{")]
     for camel, column in SPLICED.items():
         pieces += [F.lit(f'"{camel}":'), F.coalesce(column, F.lit("null")), F.lit(",")]
-    line = F.concat(*pieces, F.substring(body, 2, 1_000_000))
+    line = F.concat(*pieces, F.expr("substring(body, 2)"))
     line = F.when(F.expr(CORRUPT), F.substring(line, 1, 30)).when(F.expr(BLANK), F.lit("")).otherwise(line)
     return rows.select(F.substring("_source_file", 6, 1).alias("feed"), line.alias("value"))
 
@@ -186,7 +186,7 @@ SELECT listing_id, dealer_carfax_id, dealer_name, dealer_phone, dealer_review_co
   monthly_term_months::VARCHAR AS monthly_term_months
 FROM listings WHERE NOT ({CORRUPT}) AND NOT ({BLANK})"""))
 def flatten_struct(spark, sf_dir):
-    raw = scanned(spark, sf_dir).where(F.col("id").isNotNull())
+    raw = readers.parsed_structs(scanned(spark, sf_dir).where(F.col("id").isNotNull()))
     flat = shape.flatten_struct(shape.flatten_struct(raw, "dealer", fixed.DEALER_FIELDS),
                                 "monthlyPaymentEstimate", fixed.MONTHLY_FIELDS)
     return shape.rename_keys(flat, fixed.RAW_RENAMES).select(
@@ -462,8 +462,8 @@ def quarantine_sink(spark, sf_dir):
     root = fresh_path(spark, "rejects")
     rows = table(spark, sf_dir, "customer").withColumn("_source_file", F.concat(F.lit("file-"), "c_mktsegment"))
     bad = routing.quarantine(rows, {"negative_balance": F.col("c_acctbal") < 0})[1]
-    for _ in range(2):  # writing the same files' rejects again replaces them
-        writers.write_quarantine(bad, root)
+    for _ in range(2):  # the same run's rejects again replace the first ones
+        writers.write_quarantine(bad, root, "run-1")
     return spark.read.parquet(f"{root}/{fixed.QUARANTINE_DIR}").groupBy("_source_file").agg(
         F.count("*").alias("rows"))
 
@@ -557,11 +557,11 @@ def sized_jsonl_sink(spark, sf_dir):
 
 
 @query("dataset_manifest", f"""SELECT {_EVENT_TOTALS},
-  sum(('0x' || substr(md5({EVENT_LINE}), 1, 8))::BIGINT)::BIGINT AS checksum FROM events""")
+  bit_xor(('0x' || substr(md5({EVENT_LINE}), 1, 15))::BIGINT) AS checksum FROM events""")
 def dataset_manifest(spark, sf_dir):
     files = manifest.dataset_manifest(spark, _event_parts(spark, sf_dir), EVENT_LIMIT)
     return files.agg(F.sum("row_count").alias("total_rows"), F.sum("size_bytes").alias("total_bytes"),
-                     F.sum("checksum").alias("checksum"))
+                     F.bit_xor("checksum").alias("checksum"))
 
 
 @query("incremental_silver_stream", silver_sql("SELECT vin, year, _source_system FROM stored", DEDUP_CTE))
@@ -575,6 +575,61 @@ def incremental_silver_stream_(spark, sf_dir):
     return jobs.SilverLake(f"{root}/silver").read(spark).select("vin", "year", "_source_system")
 
 
+def _stream_lake(spark: SparkSession, sf_dir: str) -> str:
+    """A lake filled by the stream from files that are known by their paths."""
+    root = fresh_path(spark, "stream-rejects")
+    incremental_silver_stream(spark, raw_feed(spark, sf_dir), f"{root}/silver", f"{root}/checkpoint",
+                              glob=FEED_GLOB, files_per_batch=2).awaitTermination()
+    return f"{root}/silver"
+
+
+@query("stream_quarantine", silver_sql("SELECT _rejection_reason, count(*) AS rows FROM rejects GROUP BY 1",
+       f"""rejects AS (SELECT _rejection_reason FROM marked WHERE _rejection_reason <> ''
+  UNION ALL SELECT 'corrupt_json;missing_vin;invalid_year;' FROM listings WHERE {CORRUPT})"""))
+def stream_quarantine(spark, sf_dir):
+    """Rejects of all batches, several files of the same name among them."""
+    found = readers.quarantine_scan(spark, _stream_lake(spark, sf_dir))
+    return found.groupBy("_rejection_reason").agg(F.count("*").alias("rows"))
+
+
+@query("stream_file_log", silver_sql(f"""
+SELECT substr(_source_file, 6, 1) AS feed, count(*) AS raw FROM listings WHERE NOT ({BLANK}) GROUP BY 1"""))
+def stream_file_log(spark, sf_dir):
+    """The stream logs its files; a batch run on the same lake then finds none to read."""
+    root = _stream_lake(spark, sf_dir)
+    again = jobs.run_silver(spark, raw_feed(spark, sf_dir), root, run_id="again", run_ts=RUN_TS, glob=FEED_GLOB)
+    if again.counts["files_processed"]:
+        raise AssertionError("files of the stream were read again")
+    feed = F.regexp_extract("source_file", "feed=([^/]+)", 1)
+    return jobs.SilverLake(root).read_log(spark).groupBy(feed.alias("feed")).agg(F.sum("raw").alias("raw"))
+
+
+@query("files_known_by_path", silver_sql(f"""
+SELECT feed, raw, raw - valid AS quarantined
+FROM (SELECT substr(_source_file, 6, 1) AS feed, count(*) AS raw FROM listings WHERE NOT ({BLANK}) GROUP BY 1)
+JOIN (SELECT substr(_source_file, 6, 1) AS feed, count(*) AS valid FROM valid GROUP BY 1) USING (feed)"""))
+def files_known_by_path(spark, sf_dir):
+    """One feed folder after the other, all with files of the same names."""
+    root, raw = fresh_path(spark, "by-path"), raw_feed(spark, sf_dir)
+    for run, glob in (("one", "feed=A"), ("two", "feed=N"), ("three", "feed=R"), ("four", "feed=R")):
+        jobs.run_silver(spark, f"{raw}/{glob}", root, run_id=run, run_ts=RUN_TS, glob=FEED_GLOB,
+                        source_file=jobs.path_below(spark, raw))
+    feed = F.regexp_extract("source_file", "feed=([^/]+)", 1)
+    return jobs.SilverLake(root).read_log(spark).groupBy(feed.alias("feed")).agg(
+        F.sum("raw").alias("raw"), F.sum("quarantined").alias("quarantined"))
+
+
+@query("malformed_line_text", with_listings(f"""
+SELECT _source_file, count(*) AS rows, 30 AS shortest, 30 AS longest FROM listings WHERE {CORRUPT} GROUP BY 1"""))
+def malformed_line_text(spark, sf_dir):
+    """The text of lines that are no JSON is kept with their reject."""
+    root, _ = silver_run(spark, sf_dir)
+    size = F.length(readers.RAW_TEXT)
+    return (readers.quarantine_scan(spark, root, with_text=True).where(F.col(readers.RAW_TEXT).isNotNull())
+            .groupBy("_source_file").agg(F.count("*").alias("rows"), F.min(size).alias("shortest"),
+                                         F.max(size).alias("longest")))
+
+
 # --- coverage ----------------------------------------------------------------
 
 RANGES = [(1982, 1995), (1996, 1996), (1997, 1997), (1998, 1998)]
@@ -863,6 +918,30 @@ def iso_timestamps(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", fn.iso_utc(text).alias("first_seen"))
 
 
+@query("iso_timestamps_in_two_zones", """SELECT zone, o_orderkey,
+  CASE o_orderkey % 5 WHEN 3 THEN NULL WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d') || 'T08:00:00Z'
+  ELSE strftime(o_orderdate, '%Y-%m-%d') || 'T00:00:00Z' END AS first_seen
+FROM orders, (VALUES ('America/New_York'), ('Asia/Tokyo')) z(zone)""")
+def iso_timestamps_in_two_zones(spark, sf_dir):
+    """Texts with and without offset, and one of a given pattern, mean the same in any session."""
+    parts = []
+    for zone in ("America/New_York", "Asia/Tokyo"):
+        session = spark.newSession()
+        session.conf.set("spark.sql.session.timeZone", "UTC")
+        day, k = F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderkey") % 5
+        text = (F.when(k == 0, day).when(k == 1, F.concat(day, F.lit("T00:00:00Z")))
+                .when(k == 2, F.concat(day, F.lit("T10:00:00+02:00"))).when(k == 3, F.lit("no date"))
+                .otherwise(F.date_format("o_orderdate", "MM/dd/yyyy")))
+        path = fresh_path(spark, "zone-texts")
+        table(session, sf_dir, "orders").select("o_orderkey", text.alias("text")).write.parquet(path)
+        session.conf.set("spark.sql.session.timeZone", zone)
+        out = fresh_path(spark, "zone-read")
+        session.read.parquet(path).select(F.lit(zone).alias("zone"), "o_orderkey", fn.iso_utc(
+            "text", ["MM/dd/yyyy"]).alias("first_seen")).write.parquet(out)
+        parts.append(spark.read.parquet(out))
+    return parts[0].unionByName(parts[1])
+
+
 @query("exact_quantiles", """SELECT l_returnflag, r(quantile_cont(l_extendedprice, 0.25)) AS p25,
   r(median(l_extendedprice)) AS p50, r(quantile_cont(l_extendedprice, 0.99)) AS p99 FROM lineitem GROUP BY 1""")
 def exact_quantiles(spark, sf_dir):

@@ -30,12 +30,13 @@ def owner_count(c: Column | str) -> Column:
 
 def service_event_count(c: Column | str) -> Column:
     """``number`` as a whole count: fractions are cut, text counts only when it
-    holds a whole number, zero and anything else become null."""
+    holds a whole number, true counts one, zero and anything else become null."""
     text = _col(c)
     number = F.get_json_object(text, "$.number")
     # only a number that is not whole needs a look at how it was written
     kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(text), "$.number", "variant"))
-    cut = F.when(kind != "STRING", number.try_cast("double").try_cast("bigint"))
+    cut = (F.when(kind == "BOOLEAN", (number == "true").cast("bigint"))
+           .when(kind != "STRING", number.try_cast("double").try_cast("bigint")))
     return F.nullif(F.coalesce(number.try_cast("bigint"), cut), F.lit(0).cast("bigint"))
 
 

@@ -55,9 +55,12 @@ def sorted_distinct_joined(value: Column | str, separator: str = ", ") -> Column
 
 def pivot_sum(df: DataFrame, rows: str, columns: str, measure: str,
               column_values: Sequence | None = None) -> DataFrame:
-    """``rows`` x ``columns`` table of summed ``measure``, empty cells 0."""
+    """``rows`` x ``columns`` table of summed ``measure``, empty cells 0.  Without
+    ``column_values`` every value found becomes a column; an empty list means none."""
     grouped = with_keys(df, [rows, columns]).groupBy(rows)
-    spread = grouped.pivot(columns, list(column_values)) if column_values else grouped.pivot(columns)
+    if column_values is not None and not list(column_values):
+        return with_keys(df, [rows, columns]).select(rows).distinct()
+    spread = grouped.pivot(columns) if column_values is None else grouped.pivot(columns, list(column_values))
     return spread.agg(F.sum(measure)).na.fill(0)
 
 

@@ -131,6 +131,12 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, fractions: S
         ranked_quantiles(rows.join(hot, list(keys), "left_semi"), keys, "_value", fractions))
 
 
+def _number(source: str) -> Column:
+    """The values that take part in a median: neither null nor NaN."""
+    number = F.col(source).cast("double")
+    return F.when(~F.isnan(number), number)
+
+
 def grouped_stats(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column],
                   medians: Mapping[str, str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per non-null key: ``aggregates`` plus exact ``medians``
@@ -142,13 +148,13 @@ def grouped_stats(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Colum
     hot = staged_hot_keys(rows, group, hot_rows)
     if hot is None:
         return rows.groupBy(*group).agg(
-            *aggregates, *[F.median(source).cast("double").alias(name)
+            *aggregates, *[F.median(_number(source)).alias(name)
                            for name, source in medians.items()])
 
     flagged = rows.join(hot.withColumn("_hot", F.lit(True)), group, "left")
     ordinary = F.col("_hot").isNull()
     table = flagged.groupBy(*group).agg(
-        *aggregates, *[F.median(F.when(ordinary, F.col(source))).cast("double").alias(name)
+        *aggregates, *[F.median(F.when(ordinary, _number(source))).alias(name)
                        for name, source in medians.items()])
     measured = F.explode(F.array(*[
         F.struct(F.lit(name).alias("_measure"), F.col(source).cast("double").alias("_value"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -16,8 +17,8 @@ from forecourt.operators.shape import SILVER
 from forecourt.plans import gold
 from forecourt.plans.silver import silver_rows
 from forecourt.session import drop_path, fresh_path, path_exists, stage
-from forecourt.sources.readers import RAW_GLOB, file_position, jsonl_scan
-from forecourt.sources.writers import write_parquet, write_quarantine, write_silver
+from forecourt.sources.readers import CORRUPT, RAW_GLOB, RAW_TEXT, file_position, jsonl_scan
+from forecourt.sources.writers import run_folder, write_parquet, write_quarantine, write_silver
 
 FILE_LOG_SCHEMA = ("source_file string, run_id string, completed_at string, raw bigint, "
                    "silver bigint, quarantined bigint, cross_dedup bigint")
@@ -62,20 +63,37 @@ class SilverLake:
     def read_log(self, spark: SparkSession) -> DataFrame:
         if not path_exists(spark, self.file_log):
             return spark.createDataFrame([], FILE_LOG_SCHEMA)
-        return spark.read.schema(FILE_LOG_SCHEMA).parquet(self.file_log)
+        return (spark.read.schema(FILE_LOG_SCHEMA).option("recursiveFileLookup", "true")
+                .parquet(self.file_log))
 
 
 def base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def path_below(spark: SparkSession, root: str) -> Callable[[Column], Column]:
+    """A file's path below ``root``: files of the same name in different folders stay
+    different.  A file outside ``root`` keeps its whole path."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    whole = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(folder)
+    start = whole.toUri().getRawPath().rstrip("/") + "/"
+
+    def below(path: Column) -> Column:
+        plain = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+        return F.when(plain.startswith(start), F.substring(plain, len(start) + 1, 1 << 20)).otherwise(plain)
+
+    return below
+
+
 def pending_files(spark: SparkSession, raw_path: str, log: DataFrame, glob: str = RAW_GLOB,
-                  source_file=base_name) -> list[str]:
+                  source_file: Callable[[Column], Column] | None = None) -> list[str]:
     """Raw files whose ``source_file`` the log does not name.  Only file names
     reach the driver, which lists them for the scan anyway."""
     listed = jsonl_scan(spark, raw_path, glob=glob).inputFiles()
     if not listed:
         return []
+    source_file = source_file or path_below(spark, raw_path)
     files = spark.createDataFrame([(f,) for f in listed], "path string").withColumn(
         "source_file", source_file(F.col("path")))
     return sorted(r.path for r in files.join(log, "source_file", "left_anti").collect())
@@ -97,14 +115,14 @@ def new_silver(staged: DataFrame, stored: DataFrame) -> DataFrame:
     return valid.join(chosen, row, "left_semi").select(*fixed.SILVER_COLUMNS)
 
 
-def stage_raw(raw: DataFrame, path: str, run_id: str, run_ts: str, source_file=base_name,
-              source_system: str = fixed.SOURCE_SYSTEM) -> DataFrame:
+def stage_raw(raw: DataFrame, path: str, run_id: str, run_ts: str,
+              source_file: Callable[[Column], Column] = base_name, source_system: str = fixed.SOURCE_SYSTEM) -> DataFrame:
     """Parse and shape raw files once into a staged table.  All later steps read
     its columns: neither lost executors nor several sinks repeat the parse."""
     block, row = file_position()
     shaped = silver_rows(raw, run_id, run_ts, source_file=source_file(F.col("_metadata.file_path")),
                          source_system=source_system,
-                         keep={"_block_start": block, "_row_in_task": row})
+                         keep={"_block_start": block, "_row_in_task": row, RAW_TEXT: F.col(CORRUPT)})
     shaped.write.mode("overwrite").parquet(path)
     return raw.sparkSession.read.schema(shaped.schema).parquet(path)
 
@@ -122,19 +140,31 @@ def file_statistics(staged: DataFrame, written: DataFrame, run_id: str, run_ts:
         (F.col("raw") - F.col("quarantined") - silver).alias("cross_dedup"))
 
 
+def drop_unfinished_rejects(spark: SparkSession, silver_root: str, log: DataFrame) -> None:
+    """Delete the rejects of runs that ended before their log: their files are read again."""
+    path = f"{silver_root}/{fixed.QUARANTINE_DIR}"
+    if path_exists(spark, path):
+        stored = spark.read.schema("vin string, _pipeline_run_id string").parquet(path)
+        runs = stored.select(F.col("_pipeline_run_id").alias("run_id")).distinct()
+        for r in runs.join(log, "run_id", "left_anti").collect():   # few: runs that died
+            drop_path(spark, run_folder(path, r.run_id))
+
+
 def run_silver(spark: SparkSession, raw_path: str, silver_root: str, full_refresh: bool = False,
-               run_id: str | None = None, run_ts: str | None = None, source_file=base_name,
-               source_system: str = fixed.SOURCE_SYSTEM, glob: str = RAW_GLOB) -> RunResult:
+               run_id: str | None = None, run_ts: str | None = None,
+               source_file: Callable[[Column], Column] | None = None, source_system: str = fixed.SOURCE_SYSTEM, glob: str = RAW_GLOB) -> RunResult:
     """Bring new raw files into the silver table.
 
     Incremental by default: files in the log are skipped and keys already stored
-    dropped.  A full refresh reads every file and replaces table and log.  The
+    dropped.  A file is known by its path below ``raw_path``, or by what
+    ``source_file`` makes of its path.  A full refresh reads every file and replaces table and log.  The
     file log is written last, so a run that dies before that is repeated and
     finds its keys stored: nothing doubles.
     """
     fresh_id, fresh_ts = run_identity()
     run_id, run_ts = run_id or fresh_id, run_ts or fresh_ts
     lake = SilverLake(silver_root)
+    source_file = source_file or path_below(spark, raw_path)
     log = spark.createDataFrame([], FILE_LOG_SCHEMA) if full_refresh else lake.read_log(spark)
     skipped = 0 if full_refresh else log.count()
     if not path_exists(spark, raw_path):
@@ -149,8 +179,10 @@ def run_silver(spark: SparkSession, raw_path: str, silver_root: str, full_refres
     stored = spark.createDataFrame([], SILVER) if full_refresh else lake.read(spark)
     stored = stored.where(F.col("_pipeline_run_id") != run_id)
     write_silver(new_silver(staged, stored), lake.listings, run_id, full_refresh)
+    if not full_refresh:
+        drop_unfinished_rejects(spark, silver_root, log)
     write_quarantine(split_rejected(staged)[1].select(
-        *fixed.SILVER_COLUMNS, fixed.REJECTION_COLUMN), silver_root)
+        *fixed.SILVER_COLUMNS, fixed.REJECTION_COLUMN, RAW_TEXT), silver_root, run_id, full_refresh)
 
     written = lake.read(spark).where(F.col("_pipeline_run_id") == run_id)
     stats = file_statistics(staged, written, run_id, run_ts)

@@ -13,12 +13,12 @@ from forecourt.operators.routing import listing_rules, mark_rejections, split_re
 from forecourt.operators.shape import (add_lineage, coerce_numbers, drop_columns, enforce_schema,
                                        flatten_struct, nested_to_json, rename_keys,
                                        snake_case_columns)
-from forecourt.sources.readers import CORRUPT
+from forecourt.sources.readers import CORRUPT, parsed_structs
 
 
 def flatten(raw: DataFrame) -> DataFrame:
     """Nested raw records to one flat level with snake_case names."""
-    flat = drop_columns(raw, fixed.RAW_UNWANTED)
+    flat = parsed_structs(drop_columns(raw, fixed.RAW_UNWANTED))
     for struct, fields in fixed.RAW_STRUCTS.items():
         flat = flatten_struct(flat, struct, fields)
     flat = rename_keys(nested_to_json(flat), fixed.RAW_RENAMES)

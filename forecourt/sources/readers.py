@@ -12,19 +12,27 @@ from forecourt import fixed_values as fixed
 from forecourt.functions import strip
 
 CORRUPT = "_corrupt"
+RAW_TEXT = "_raw_text"
 RAW_GLOB = "*.json*"
 
 
 def raw_schema(scalars: Sequence[str] = fixed.RAW_SCALARS,
                structs: Mapping[str, Mapping[str, str]] = fixed.RAW_STRUCTS) -> T.StructType:
-    """Reader schema of a raw record.  Every leaf is text, so one value of an
-    unexpected type never spoils its record; free-form nested values arrive as
-    their JSON text.  Types are fixed later by ``enforce_schema``."""
-    text = T.StringType()
-    fields = [T.StructField(name, text) for name in scalars]
-    fields += [T.StructField(name, T.StructType([T.StructField(f, text) for f in inner]))
-               for name, inner in structs.items()]
-    return T.StructType([*fields, T.StructField(CORRUPT, text)])
+    """Reader schema of a raw record.  Every field is text, so one value of an
+    unexpected type never spoils its record; nested values arrive as their JSON
+    text.  Types are fixed later by ``enforce_schema``."""
+    return T.StructType([T.StructField(name, T.StringType()) for name in (*scalars, *structs, CORRUPT)])
+
+
+def parsed_structs(raw: DataFrame, structs: Mapping[str, Mapping[str, str]] = fixed.RAW_STRUCTS) -> DataFrame:
+    """The JSON text of ``structs`` as structs of text; what is no object (a list,
+    plain text, nothing) becomes a struct without values."""
+    def kind(inner: Mapping[str, str]) -> T.StructType:
+        return T.StructType([T.StructField(f, T.StringType()) for f in inner])
+
+    return raw.withColumns({name: F.from_json(F.when(F.col(name).startswith("{"), F.col(name)), kind(inner))
+                            for name, inner in structs.items()
+                            if name in raw.columns and isinstance(raw.schema[name].dataType, T.StringType)})
 
 
 def jsonl_scan(spark: SparkSession, paths: str | Sequence[str],
@@ -64,11 +72,11 @@ def parquet_scan(spark: SparkSession, root: str, schema: T.StructType | None = N
     return reader.parquet(root)
 
 
-def quarantine_scan(spark: SparkSession, root: str) -> DataFrame:
-    """The quarantine below a table root, reasons last."""
+def quarantine_scan(spark: SparkSession, root: str, with_text: bool = False) -> DataFrame:
+    """The quarantine below a table root, reasons last; ``with_text`` adds the text
+    of lines that could not be parsed."""
     table = spark.read.parquet(f"{root}/{fixed.QUARANTINE_DIR}")
-    reason = fixed.REJECTION_COLUMN
-    return table.select(*[c for c in fixed.SILVER_COLUMNS], reason)
+    return table.select(*fixed.SILVER_COLUMNS, fixed.REJECTION_COLUMN, *([RAW_TEXT] if with_text else []))
 
 
 def merged_scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

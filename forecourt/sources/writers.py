@@ -47,11 +47,14 @@ def write_silver(df: DataFrame, path: str, run_id: str, full_refresh: bool = Fal
     return write_parquet(df.drop("_pipeline_run_id"), run_folder(path, run_id))
 
 
-def write_quarantine(df: DataFrame, root: str) -> int:
-    """Store rejects below the table root, one partition per source file, so a
-    reprocessed file replaces its own rejects."""
-    return write_parquet(df.hint("rebalance", "_source_file"), f"{root}/{fixed.QUARANTINE_DIR}",
-                         partition_by=["_source_file"], replace_partitions=True)
+def write_quarantine(df: DataFrame, root: str, run_id: str, full_refresh: bool = False) -> int:
+    """Store a run's rejects below the table root in its own partition folder.  The
+    same run written again replaces its rejects, also by none; other runs' stay.
+    A full refresh drops all runs' first."""
+    path = f"{root}/{fixed.QUARANTINE_DIR}"
+    if full_refresh:
+        drop_path(df.sparkSession, path)
+    return write_parquet(df.drop("_pipeline_run_id").hint("rebalance"), run_folder(path, run_id))
 
 
 def compact(df: DataFrame, path: str, total_bytes: int | None = None,

@@ -130,3 +130,23 @@ def test_quality_score(spark):
     got = [r[0] for r in df.select(gold.quality_score(F.col("a"), F.col("m"), F.col("acc"), F.col("s"))).collect()]
     assert got[:2] == [1.0, 0.0]
     assert abs(got[2] - 0.5875) <= 0.0005
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Tokyo"])
+def test_iso_utc_in_any_session_zone(spark, zone):
+    from forecourt.functions import days_since, iso_utc, timestamp_or_null
+
+    texts = ["2024-01-05", "2024-01-05T00:00:00Z", "2024-01-05 10:00:00+02:00", "2024-03-10 02:30:00", "2024", "2024-02",
+             "garbage", None, "01/15/2024", "20240115", "2024-1-5T1:2:3.5"]
+    want = ["2024-01-05T00:00:00Z", "2024-01-05T00:00:00Z", "2024-01-05T08:00:00Z", "2024-03-10T02:30:00Z", "2024-01-01T00:00:00Z",
+            "2024-02-01T00:00:00Z", None, None, "2024-01-15T00:00:00Z", "2024-01-15T00:00:00Z", "2024-01-05T01:02:03Z"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+        got = frame.select("i", iso_utc("t", ["MM/dd/yyyy", "yyyyMMdd"]).alias("x")).collect()
+        assert [r.x for r in sorted(got)] == want
+        age = frame.where("i = 0").select(days_since(timestamp_or_null("t"), "2024-01-07").alias("d")).first()
+        assert age.d == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -104,6 +104,35 @@ def test_interrupted_run_is_repeated_without_doubles(spark, folder):
     assert readers.quarantine_scan(spark, f"{folder}/silver").count() == 1
 
 
+def test_files_of_one_name_in_two_folders(spark, folder):
+    write_feed(f"{folder}/raw/d1", "part_001.jsonl", [raw_record("1"), raw_record(None)])
+    assert run(spark, folder).counts["files_processed"] == 1
+    write_feed(f"{folder}/raw/d2", "part_001.jsonl", [raw_record("2"), raw_record("3"), raw_record(None), raw_record(None)])
+    more = run(spark, folder)
+    assert (more.counts["files_processed"], more.counts["total_silver_records"]) == (1, 2)
+    assert {r.source_file for r in jobs.SilverLake(f"{folder}/silver").read_log(spark).collect()} == {"d1/part_001.jsonl", "d2/part_001.jsonl"}
+    assert readers.quarantine_scan(spark, f"{folder}/silver").count() == 3
+    assert run(spark, folder).counts["files_processed"] == 0
+
+
+def test_text_of_malformed_lines_and_odd_structs(spark, folder):
+    write_feed(f"{folder}/raw", "a.jsonl", ['{"vin": "1", "ye', raw_record("2", dealer=[]), raw_record("3", dealer=""),
+                                            raw_record("4", dealer="text", monthlyPaymentEstimate=[1]), raw_record("5", dealer=None)])
+    run(spark, folder)
+    kept = {r.vin: r.dealer_name for r in table(spark, folder).collect()}
+    assert kept == {"2": None, "3": None, "4": None, "5": None}
+    rejected = readers.quarantine_scan(spark, f"{folder}/silver", with_text=True).collect()
+    assert [r._raw_text for r in rejected] == ['{"vin": "1", "ye']
+
+
+def test_rejects_of_a_repeated_run_are_replaced(spark, folder):
+    frame = silver.silver_transform(spark.createDataFrame([("1", None)], "vin string, year string"), "r", "t", source_file=F.lit("f"))[1]
+    for rows in (frame, frame, frame.limit(0)):
+        from forecourt.sources.writers import write_quarantine
+        write_quarantine(rows, f"{folder}/silver", "r")
+    assert spark.read.schema(frame.schema).parquet(f"{folder}/silver/{fixed.QUARANTINE_DIR}").count() == 0
+
+
 def test_missing_raw_folder_is_an_error(spark, folder):
     result = jobs.run_silver(spark, f"{folder}/nope", f"{folder}/silver")
     assert not result.success and "nope" in result.error
