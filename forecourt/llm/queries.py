@@ -125,4 +125,4 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(16 + role_chars + text_chars) AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id
-""".replace("\\\\", "\\")
+"""

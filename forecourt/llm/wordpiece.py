@@ -13,6 +13,7 @@ different word of a batch is matched once.
 from __future__ import annotations
 
 import json
+import unicodedata
 from collections import deque
 from collections.abc import Iterable
 
@@ -128,7 +129,7 @@ class WordCounter:
         """Words and pieces of a text without white space."""
         got = self.known.get(chunk)
         if got is None:
-            words = self.words(chunk)
+            words = self.words(unicodedata.normalize("NFC", chunk).lower())
             got = len(words), sum(map(self.match.count, words))
             if len(self.known) >= WORDS_KEPT:
                 self.known.clear()
@@ -138,8 +139,7 @@ class WordCounter:
 
     def count(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Words and pieces of each text."""
-        ready = pc.utf8_lower(pc.utf8_normalize(pc.fill_null(texts, ""), "NFC"))
-        chunks = pc.utf8_split_whitespace(ready)
+        chunks = pc.utf8_split_whitespace(pc.fill_null(texts, ""))
         coded = chunks.flatten().dictionary_encode()
         each = np.array([self._counts(c) for c in coded.dictionary.to_pylist()], dtype=np.int64).reshape(-1, 2)
         begin = chunks.offsets.to_numpy().astype(np.int64)
