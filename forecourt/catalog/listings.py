@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt import fixed_values as fixed
-from forecourt.session import spread, tune
+from forecourt.session import tune
 
 AS_OF_YEAR = 2001
 AS_OF = "2001-06-01 00:00:00"
@@ -141,7 +141,7 @@ def listings(spark: SparkSession, sf_dir: str, dealer: bool = False,
 
 
 def _listings(spark: SparkSession, sf_dir: str, dealer: bool, handles: bool) -> DataFrame:
-    rows = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber").join(
+    rows = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"), "left")
     chosen = {**VEHICLE, **LINEAGE}
     if dealer:

@@ -79,7 +79,8 @@ def string_profile(df: DataFrame, columns: Sequence[str] | None = None, k: int =
             .select("column", "non_null_count", "non_empty_count", missing.alias("null_count"),
                     percent_of(missing, F.col("_rows")).alias("null_pct"),
                     F.coalesce("unique_count", F.lit(0)).cast("bigint").alias("unique_count"),
-                    "top_values"))
+                    F.coalesce("top_values", F.array().cast("array<struct<value:string,n:bigint>>"))
+                    .alias("top_values")))
 
 
 def category_counts(df: DataFrame, columns: Sequence[str] = fixed.CATEGORY_FIELDS, k: int = 20
@@ -132,8 +133,9 @@ def inventory_totals(files: DataFrame) -> DataFrame:
                      half_even(F.sum("size_mb"), 2).alias("total_size_mb"))
 
 
-def _python_type(value: Column) -> Column:
-    """Type label of a JSON value; lists and objects carry their size."""
+def _python_type(value: Column, written: Column) -> Column:
+    """Type label of a JSON value; lists and objects carry their size.  A number is
+    whole if it is ``written`` without point and exponent."""
     kind = F.schema_of_variant(value)
     text = F.to_json(value)
     is_list, is_object = kind.startswith("ARRAY"), kind.startswith("OBJECT")
@@ -141,18 +143,19 @@ def _python_type(value: Column) -> Column:
     return (F.when(is_object, F.format_string("dict(%d keys)", F.size(F.json_object_keys(text))))
             .when(is_list, F.format_string("list(len=%d)", F.json_array_length(text)))
             .when(kind == "VOID", F.lit("NoneType")).when(kind == "BOOLEAN", F.lit("bool"))
-            .when(whole, F.lit("int")).when(kind == "STRING", F.lit("str"))
+            .when(whole & ~written.rlike("[.eE]"), F.lit("int")).when(kind == "STRING", F.lit("str"))
             .otherwise(F.lit("float")))
 
 
 def raw_key_types(lines: DataFrame, column: str = "value") -> DataFrame:
     """(key, type, n, sample) over the top-level keys of JSON lines; lines that
     are not JSON objects count nothing."""
-    record = lines.select(F.try_parse_json(column).alias("record")).where(
+    record = lines.select(F.try_parse_json(column).alias("record"), F.col(column).alias("line")).where(
         F.schema_of_variant("record").startswith("OBJECT"))
     pairs = record.lateralJoin(
         record.sparkSession.tvf.variant_explode(F.col("record").outer())
-    ).select("key", _python_type(F.col("value")).alias("type"),
+    ).select("key", _python_type(F.col("value"), F.coalesce(F.call_function(
+        "get_json_object", "line", F.concat(F.lit("$['"), "key", F.lit("']"))), F.lit(""))).alias("type"),
              F.when(~F.is_variant_null("value"),
                     json_preview(F.col("value").cast("string"))).alias("preview"))
     return pairs.groupBy("key", "type").agg(F.count("*").alias("n"),

@@ -43,15 +43,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Give a scan with fewer splits than the session has cores (a small file, a
-    single row group) one task per core.  Larger scans are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *columns)
-
-
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, for staged tables.
 
@@ -70,9 +61,21 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_FRESH: list[str] = []
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/forecourt/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder; :func:`release` deletes it."""
+    path = f"{shared_folder(spark)}/forecourt/{label}-{uuid.uuid4().hex}"
+    _FRESH.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every path of :func:`fresh_path` that is still there.  To be called when
+    no table that was built on them is needed any more: results are lazy."""
+    while _FRESH:
+        drop_path(spark, _FRESH.pop())
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -268,3 +268,30 @@ def test_raw_profile(spark, folder):
     assert found["topOptions"].sample == '["a","b"]' and found["images"].sample == "[1,2]"
     sampled = profile.raw_file_inventory(spark, f"{folder}/raw", sample_fraction=1.0).first()
     assert sampled.total_records == 3
+
+
+def test_columns_without_values_and_written_numbers(spark):
+    from forecourt.plans import profile
+
+    df = spark.createDataFrame([("b", None), ("a", None)], "t string, n string")
+    assert {r.column: (r.unique_count, r.sample_values) for r in quality.text_samples(df).collect()} == {"t": (2, ["a", "b"]), "n": (0, [])}
+    assert {r.column: len(r.top_values) for r in profile.string_profile(df).collect()} == {"t": 2, "n": 0}
+    lines = spark.createDataFrame([('{"a": 1.0, "b": 10, "c": 1e2, "d": 2.5, "it\'s": 3}',)], "value string")
+    got = {r.key: r.types[0].type for r in profile.raw_key_inventory(lines).collect()}
+    assert (got["a"], got["b"], got["c"], got["d"]) == ("float", "int", "float", "float")
+
+
+def test_empty_list_of_years_gives_no_columns(spark):
+    from forecourt.plans import summaries
+
+    rows = spark.createDataFrame([("x", 2001, 5), ("x", 2002, 6)], "make string, year long, listing_count long")
+    assert summaries.listing_heatmap(rows).columns == ["make"]
+
+
+def test_release_deletes_staged_tables(spark):
+    from forecourt.session import fresh_path, path_exists, release
+
+    path = fresh_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    release(spark)
+    assert not path_exists(spark, path)
