@@ -664,9 +664,9 @@ ORACLES["coverage_retry_errors"] = _GRID_SQL % " HAVING max(CASE WHEN o_ordersta
 
 # --- profiles and reports ----------------------------------------------------
 
-PROFILED = ["year", "mileage", "list_price", "current_price", "mpg_combined", "dealer_avg_rating",
-            "monthly_term_months"]
-TEXTS = ["make", "model", "sub_trim", "bodytype", "cab_type", "owner_history", "dealer_carfax_id"]
+# every number and every text of the table but its lineage
+PROFILED = [c for c, kind in fixed.SILVER_COLUMNS.items() if kind in ("bigint", "double")]
+TEXTS = [c for c, kind in fixed.SILVER_COLUMNS.items() if kind == "string" and not c.startswith("_")]
 
 
 def _each(columns, template: str) -> str:
@@ -683,7 +683,7 @@ SELECT '{{c}}' AS "column", count({{c}}) AS count, {r('avg({c})', 3)} AS mean, {
   quantile_cont({{c}}::DOUBLE, 0.75) AS p75, max({{c}})::DOUBLE AS max, count(*) - count({{c}}) AS null_count,
   {r('(count(*) - count({c}))::DOUBLE / count(*) * 100', 2)} AS null_pct FROM listings""")))
 def numeric_profile(spark, sf_dir):
-    rows = profile.numeric_profile(listings(spark, sf_dir), PROFILED)
+    rows = profile.numeric_profile(listings(spark, sf_dir, dealer=True), PROFILED)
     return _rounded(rows, "mean", "std")
 
 
@@ -692,7 +692,7 @@ SELECT '{{c}}' AS "column", count({{c}}) AS non_null_count, count(*) FILTER (tri
   count(*) - count({{c}}) AS null_count, {r('(count(*) - count({c}))::DOUBLE / count(*) * 100', 2)} AS null_pct,
   count(DISTINCT {{c}}) FILTER (trim({{c}}) <> '') AS unique_count FROM listings""")))
 def string_profile(spark, sf_dir):
-    return profile.string_profile(listings(spark, sf_dir), TEXTS).drop("top_values")
+    return profile.string_profile(listings(spark, sf_dir, dealer=True), TEXTS).drop("top_values")
 
 
 @query("top_text_values", with_listings(_each(TEXTS, """
@@ -700,19 +700,18 @@ SELECT '{c}' AS "column", {c} AS value, n FROM (
   SELECT {c}, count(*) AS n FROM listings WHERE trim({c}) <> '' GROUP BY 1 ORDER BY n DESC, 1 LIMIT 10)""".replace(
     "SELECT '{c}'", "(SELECT '{c}'") + ")")))
 def top_text_values(spark, sf_dir):
-    best = profile.string_profile(listings(spark, sf_dir), TEXTS)
+    best = profile.string_profile(listings(spark, sf_dir, dealer=True), TEXTS)
     return best.select("column", F.explode("top_values").alias("t")).select("column", "t.value", "t.n")
 
 
-CATEGORIES = ["make", "model", "bodytype", "fuel", "drivetype", "transmission", "vehicle_condition",
-              "accident_history", "owner_history"]
+CATEGORIES = list(fixed.CATEGORY_FIELDS)
 
 
 @query("category_counts", with_listings(_each(CATEGORIES, """
 (SELECT '{c}' AS "column", coalesce({c}, '<null>') AS value, n FROM (
   SELECT {c}, count(*) AS n FROM listings GROUP BY 1 ORDER BY n DESC, 1 NULLS LAST LIMIT 20))""")))
 def category_counts(spark, sf_dir):
-    return profile.category_counts(listings(spark, sf_dir))
+    return profile.category_counts(listings(spark, sf_dir, dealer=True))
 
 
 @query("table_shape", """SELECT count(*) AS rows, 11 AS columns, 1::BIGINT AS files FROM lineitem""")
@@ -734,15 +733,15 @@ SELECT '{{c}}' AS "column", count(*) - count({{c}}) AS null_count,
   {r('(count(*) - count({c}))::DOUBLE / count(*) * 100', 2)} AS missing_pct, count({{c}}) AS non_null_count
 FROM listings""")))
 def column_completeness(spark, sf_dir):
-    return quality.column_completeness(listings(spark, sf_dir), TEXTS + PROFILED).drop("dtype")
+    return quality.column_completeness(listings(spark, sf_dir, dealer=True), TEXTS + PROFILED).drop("dtype")
 
 
 @query("text_samples", with_listings(_each(TEXTS, """
 SELECT '{c}' AS "column", count(DISTINCT {c}) AS unique_count,
-  (SELECT string_agg(v, '|' ORDER BY v) FROM (SELECT DISTINCT {c} AS v FROM listings WHERE {c} IS NOT NULL ORDER BY 1 LIMIT 5)) AS samples
+  coalesce((SELECT string_agg(v, '|' ORDER BY v) FROM (SELECT DISTINCT {c} AS v FROM listings WHERE {c} IS NOT NULL ORDER BY 1 LIMIT 5)), '') AS samples
 FROM listings""")))
 def text_samples(spark, sf_dir):
-    return quality.text_samples(listings(spark, sf_dir), TEXTS).select(
+    return quality.text_samples(listings(spark, sf_dir, dealer=True), TEXTS).select(
         "column", "unique_count", F.array_join("sample_values", "|").alias("samples"))
 
 
@@ -750,7 +749,7 @@ def text_samples(spark, sf_dir):
 SELECT '{{c}}' AS "column", {r('min({c})', 4)} AS min, {r('max({c})', 4)} AS max, {r('avg({c})', 4)} AS mean,
   {r('median({c})', 4)} AS median FROM listings""")))
 def number_ranges(spark, sf_dir):
-    return quality.number_ranges(listings(spark, sf_dir), PROFILED)
+    return quality.number_ranges(listings(spark, sf_dir, dealer=True), PROFILED)
 
 
 _MISSING = _each(TEXTS + PROFILED, """SELECT '{c}' AS "column", count(*) - count({c}) AS missing, count(*) AS n FROM listings""")
@@ -759,14 +758,14 @@ _MISSING = _each(TEXTS + PROFILED, """SELECT '{c}' AS "column", count(*) - count
 @query("fully_populated_columns", with_listings('SELECT "column" FROM missing WHERE missing = 0',
                                                 f"missing AS ({_MISSING})"))
 def fully_populated_columns(spark, sf_dir):
-    return quality.fully_populated(quality.column_completeness(listings(spark, sf_dir), TEXTS + PROFILED))
+    return quality.fully_populated(quality.column_completeness(listings(spark, sf_dir, dealer=True), TEXTS + PROFILED))
 
 
 @query("mostly_null_columns", with_listings(
     f"""SELECT "column", {r('missing::DOUBLE / n * 100', 2)} AS missing_pct FROM missing WHERE missing * 100.0 / n > 50""",
     f"missing AS ({_MISSING})"))
 def mostly_null_columns(spark, sf_dir):
-    return quality.mostly_null(quality.column_completeness(listings(spark, sf_dir), TEXTS + PROFILED))
+    return quality.mostly_null(quality.column_completeness(listings(spark, sf_dir, dealer=True), TEXTS + PROFILED))
 
 
 _REJECTS = f"""rejects AS (SELECT _source_file, _rejection_reason FROM marked WHERE _rejection_reason <> ''
@@ -800,7 +799,7 @@ def duplicate_keys(spark, sf_dir):
 @query("quality_report_columns", with_listings(_each(TEXTS + PROFILED, f"""
 SELECT '{{c}}' AS "column", count(*) - count({{c}}) AS total_missing, count({{c}}) AS non_null_count FROM listings""")))
 def quality_report_columns(spark, sf_dir):
-    rows = listings(spark, sf_dir).select(*TEXTS, *PROFILED, "vin", "_source_file")
+    rows = listings(spark, sf_dir, dealer=True).select(*TEXTS, *PROFILED, "_source_file")
     report = quality.quality_report(rows)["columns"]
     return report.where(F.col("column").isin(TEXTS + PROFILED)).select(
         "column", "total_missing", "non_null_count")
