@@ -15,7 +15,6 @@ on results).
 from __future__ import annotations
 
 import base64
-import os
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -46,6 +45,7 @@ class PrefixBpe:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {r: t for t, r in ranks.items()}
+        self.size_of = {r: len(t) for t, r in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
@@ -144,11 +144,13 @@ class PrefixBpe:
                 raise ValueError("no valid last token: the ranks are not a merge order")
 
     def tokens(self, last: list[int]) -> list[int]:
-        out, at = [], len(last) - 1
-        while at > 0:
-            out.append(last[at])
-            at -= len(self.bytes_of[last[at]])
-        return out[::-1]
+        out, at, size = [], len(last) - 1, self.size_of
+        while at:
+            token = last[at]
+            out.append(token)
+            at -= size[token]
+        out.reverse()
+        return out
 
     def encode_piece(self, data: bytes) -> list[int]:
         return self.encode_pieces([data])[data]
@@ -163,7 +165,11 @@ class PrefixBpe:
             if whole is not None:
                 out[data] = [whole]
                 continue
-            same = len(os.path.commonprefix((before, data)))
+            same = 0
+            for a, b in zip(before, data):
+                if a != b:
+                    break
+                same += 1
             del last[same + 1:], states[same + 1:]
             self.extend(data, last, states)
             out[data] = self.tokens(last)
@@ -216,21 +222,34 @@ class TextEncoder:
 
     def _ids(self, cuts: list[list[str]]) -> list[tuple[int, ...]]:
         """The ids of lists of pieces, each list's in one tuple."""
-        new = {p for ps in cuts for p in ps}.difference(self.pieces)
+        spaced, others = self.after_space, self.pieces
+        new = {p for ps in cuts for p in ps if (p[1:] not in spaced if p[0] == " " else p not in others)}
+        if len(spaced) + len(others) + len(new) > PIECES_KEPT:   # start again with what this round needs
+            used = {p for ps in cuts for p in ps} - new
+            spaced, others = ({p[1:]: spaced[p[1:]] for p in used if p[0] == " "},
+                              {p: others[p] for p in used if p[0] != " "})
+            self.after_space, self.pieces = spaced, others
         found = self.bpe.encode_pieces({p.encode() for p in new})
-        learnt = {p: tuple(found[p.encode()]) for p in new}
-        both = self.pieces
-        both.update(learnt)
-        out = [both[ps[0]] if len(ps) == 1 else tuple(chain.from_iterable(map(both.__getitem__, ps)))
-               for ps in cuts]
-        if len(both) > PIECES_KEPT:   # keep what this round used
-            self.pieces = {p: both[p] for ps in cuts for p in ps} if len(learnt) < PIECES_KEPT else {}
+        for p in new:
+            if p[0] == " ":
+                spaced[p[1:]] = tuple(found[p.encode()])
+            else:
+                others[p] = tuple(found[p.encode()])
+        out = []
+        for ps in cuts:
+            ids: tuple[int, ...] = ()
+            for p in ps:
+                ids += spaced[p[1:]] if p[0] == " " else others[p]
+            out.append(ids)
+        for p in new:   # long unbroken pieces are none to meet again
+            if len(p) > 64:
+                (spaced if p[0] == " " else others).pop(p[1:] if p[0] == " " else p)
         return out
 
     def _after_space(self, words: list[str]) -> list[tuple[int, ...]]:
         """The ids of a space and each of ``words``, which hold no space."""
-        known = self.after_space
-        new = [w for w in words if w not in known]
+        out = list(map(self.after_space.get, words))
+        new = [w for w, ids in zip(words, out) if ids is None]
         plain = [w for w in new if w and not w[-1].isspace()]
         cuts: dict[str, list[str]] = {w: self.cut.findall(" " + w) for w in set(new).difference(plain)}
         at, current = iter(plain), []
@@ -239,11 +258,10 @@ class TextEncoder:
                 current = cuts[next(at)] = []
             current.append(piece)
         learnt = dict(zip(cuts, self._ids(list(cuts.values()))))
-        out = [known[w] if w in known else learnt[w] for w in words]
-        if len(known) + len(learnt) > PIECES_KEPT:
-            known.clear()
-        known.update((w, ids) for w, ids in learnt.items() if len(w) <= 64)
-        return out
+        for w, ids in learnt.items():
+            if len(w) <= 64:
+                self.after_space[w] = ids
+        return [learnt[w] if ids is None else ids for w, ids in zip(words, out)]
 
     def encode(self, texts: pa.Array) -> pa.ListArray:
         """An array of ids for each text."""
@@ -325,19 +343,26 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "token_ids",
            bytes_col: str = "decoded") -> DataFrame:
     """``df`` with the bytes of ``ids_col`` in ``bytes_col``; null ids count as none.
     An id outside the vocabulary is an error."""
-    spark = df.sparkSession
-    sent = spark.sparkContext.broadcast({r: t for t, r in read_ranks(vocabulary).items()})
+    by_id = {r: t for t, r in read_ranks(vocabulary).items()}
+    sent = df.sparkSession.sparkContext.broadcast([by_id.get(i) for i in range(max(by_id, default=-1) + 1)])
     df = df.drop(bytes_col)
     schema = StructType([*df.schema.fields, StructField(bytes_col, BinaryType(), False)])
     at = df.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = sent.value.__getitem__
+        tokens = pa.array(sent.value, pa.binary())
         for batch in batches:
-            out = [b"".join(map(token, ids.values.to_pylist())) if ids.is_valid else b""
-                   for ids in batch.column(at)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())],
-                                             names=[*batch.schema.names, bytes_col])
+            ids = batch.column(at)
+            parts = tokens.take(ids.flatten())   # the bytes of all tokens, one after the other
+            if parts.null_count:
+                raise ValueError("an id is not in the vocabulary")
+            sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+            ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+            begin = np.frombuffer(parts.buffers()[1], dtype=np.int32)[parts.offset:][:len(parts) + 1] if len(parts) \
+                else np.zeros(1, dtype=np.int32)
+            text = pa.Array.from_buffers(pa.binary(), batch.num_rows, [
+                None, pa.py_buffer(np.ascontiguousarray(begin[ends])), parts.buffers()[2]])
+            yield pa.RecordBatch.from_arrays([*batch.columns, text], names=[*batch.schema.names, bytes_col])
 
     return df.mapInArrow(run, schema)
 
