@@ -35,6 +35,16 @@ def _clean(edges: DataFrame) -> DataFrame:
             .filter("src <> dst").distinct())
 
 
+def _stars_only(edges: DataFrame) -> bool:
+    """Whether every node names one smaller node at most, and none that does is named:
+    then what they name is the smallest node of their component."""
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("src").alias("node"), F.lit(1).alias("names"), F.lit(0).alias("named")),
+        F.struct(F.col("dst").alias("node"), F.lit(0).alias("names"), F.lit(1).alias("named")))).alias("e")).select("e.*")
+    both = ends.groupBy("node").agg(F.sum("names").alias("names"), F.max("named").alias("named"))
+    return both.filter("names > 1 or (names = 1 and named = 1)").isEmpty()
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
                          max_rounds: int = 60) -> DataFrame:
     """``node, component`` (smallest node reachable) for every node of ``edges``
@@ -46,15 +56,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     """
     now, path = staged(_clean(edges.select(F.col(src).cast("long").alias("src"),
                                            F.col(dst).cast("long").alias("dst")).dropna()), "edges")
-    seen = None
     for _ in range(max_rounds):
-        # A forest of stars is the end: every node names one smaller node, a centre.
-        mark = now.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("src", "dst")).alias("x")).first()
-        if mark.n == 0 or seen == (mark.n, mark.x):
+        if _stars_only(now):
             return now.select(F.col("src").alias("node"), F.col("dst").alias("component")).unionAll(
                 now.select("dst", "dst").distinct())
-        seen = (mark.n, mark.x)
-        after, new_path = staged(_clean(_small_star(_clean(_large_star(now)))), "edges")
+        after, new_path = staged(_clean(_small_star(_large_star(now))), "edges")
         drop_path(now.sparkSession, path)
         now, path = after, new_path
     raise RuntimeError("connected components did not settle")
