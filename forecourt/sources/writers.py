@@ -6,7 +6,7 @@ import math
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from forecourt import fixed_values as fixed
@@ -80,23 +80,30 @@ def json_line() -> Column:
 def write_sized_jsonl(df: DataFrame, path: str, line: Column | None = None,
                       key: str | None = None, order_by: Sequence[Column | str] = (),
                       limit_bytes: int = fixed.PART_BYTES, fill: float = 0.9) -> None:
-    """JSON lines in parts below ``limit_bytes``, as ``part=NNN`` folders.
-
-    One pass measures total and longest line; rows then go round-robin into as
-    many parts as the total needs.  Capping each file at the number of longest
-    lines that fit keeps every single file under the limit whatever the lines'
-    lengths.  With ``key``, only the first row of a key in ``order_by`` order is
+    """JSON lines in files of at most ``limit_bytes``, in ``part=NNN/file=N`` folders.
+
+    One pass measures the lines; they are then dealt by hash into as many parts as
+    their total needs.  A part is cut where its running sum of bytes would pass the
+    limit.  Long lines (above an eighth of the limit) are cut apart from the others,
+    so a few of them do not make many small files; a line above the limit stands
+    alone.  Files end in ``.json``; with a ``line`` of one's own they are text files
+    (``.txt``).  With ``key``, only the first row of a key in ``order_by`` order is
     written; rows without a key all stay.
     """
     if key:
         has_key = F.coalesce(F.col(key) != "", F.lit(False))
         df = first_per_key(df.where(has_key), [key], order_by or [key]).unionByName(
             df.where(~has_key))
-    lines = df.select((json_line() if line is None else line).alias("value"))
-    length = F.octet_length("value") + 1
-    total, longest = lines.agg(F.sum(length), F.max(length)).first()
+    rows = df if line is None else df.select(line.alias("value"))
+    size = F.octet_length(json_line() if line is None else F.col("value")) + 1
+    is_long = size > limit_bytes // 8
+    total, short, long = rows.agg(F.sum(size), F.max(F.when(~is_long, size)), F.max(F.when(is_long, size))).first()
     parts = max(1, math.ceil((total or 0) / (fill * limit_bytes)))
-    per_file = max(1, limit_bytes // (longest or 1))
-    (lines.repartition(parts).withColumn("part", F.spark_partition_id() + 1)
-     .write.mode("overwrite").option("maxRecordsPerFile", per_file)
-     .partitionBy("part").text(path))
+    dealt = rows.select("*", size.alias("_size"), is_long.alias("_long"), F.monotonically_increasing_id().alias("_at"))
+    dealt = dealt.withColumn("part", (F.pmod(F.xxhash64("_at"), F.lit(parts)) + 1).cast("int"))
+    before = F.sum("_size").over(Window.partitionBy("part", "_long").orderBy("_at").rowsBetween(
+        Window.unboundedPreceding, -1))
+    room = F.when(F.col("_long"), max(1, limit_bytes - (long or 0))).otherwise(max(1, limit_bytes - (short or 0)))
+    place = F.floor(F.coalesce(before, F.lit(0)) / room) * 2 + F.col("_long").cast("int")
+    writer = dealt.withColumn("file", place).drop("_size", "_long", "_at").write.mode("overwrite").partitionBy("part", "file")
+    writer.json(path) if line is None else writer.text(path)

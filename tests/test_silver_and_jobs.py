@@ -206,6 +206,14 @@ def test_one_long_line_does_not_break_the_limit(spark, folder):
     assert sum(f.row_count for f in files) == 200 and max(f.size_bytes for f in files) <= 1000
 
 
+def test_a_long_line_among_many_short_ones_makes_few_files(spark, folder):
+    rows = spark.range(5000).select(F.when(F.col("id") == 5, F.repeat(F.lit("x"), 90_000)).otherwise(F.lit("y")).alias("v"))
+    writers.write_sized_jsonl(rows, f"{folder}/p", limit_bytes=100_000)
+    files = manifest.dataset_manifest(spark, f"{folder}/p", 100_000).collect()
+    assert sum(f.row_count for f in files) == 5000 and max(f.size_bytes for f in files) <= 100_000 and len(files) <= 6
+    assert readers.line_scan(spark, f"{folder}/p").count() == 5000      # found by the default pattern
+
+
 def test_merged_scan_and_compact(spark, folder):
     spark.range(2).write.parquet(f"{folder}/t")
     spark.range(1).withColumn("_rejection_reason", F.lit("x;")).write.parquet(f"{folder}/t/_quarantine")
