@@ -18,6 +18,7 @@ and sorted by bucket; Spark's expressions have none.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +34,16 @@ BLOCK = 2048
 SEED = 20240229
 
 
+@lru_cache(maxsize=8)
+def _axes(dim: int, count: int, width: float) -> tuple[np.ndarray, np.ndarray]:
+    """Directions and shifts, the same in every task."""
+    rng = np.random.default_rng([SEED, dim])
+    return rng.standard_normal((dim, count)), rng.uniform(0, width, count)
+
+
 def bucket_codes(x: np.ndarray, tables: int = TABLES, projections: int = PROJECTIONS, width: float = WIDTH) -> np.ndarray:
     """The bucket (64 bits) of each row of ``x`` (length one) in each table."""
-    rng = np.random.default_rng([SEED, x.shape[1]])
-    axes = rng.standard_normal((x.shape[1], tables * projections))
-    shifts = rng.uniform(0, width, tables * projections)
+    axes, shifts = _axes(x.shape[1], tables * projections, width)
     steps = np.floor((x @ axes + shifts) / width).astype(np.int64).reshape(len(x), tables, projections).view(np.uint64)
     code = np.broadcast_to(np.arange(tables, dtype=np.uint64) + np.uint64(x.shape[1] << 32), (len(x), tables)).copy()
     for k in range(projections):
