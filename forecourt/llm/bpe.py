@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 VOCABULARY_BYTES = 64 << 20   # bound on the vocabulary file that is sent to tasks
-PIECES_KEPT = 250_000         # bounds on a worker's caches, in entries
-PAIRS_KEPT = 300_000
+PIECES_KEPT = 200_000         # bounds on a worker's caches, in entries
+PAIRS_KEPT = 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -279,11 +279,9 @@ class TextEncoder:
         index[begin[:-1]] = len(coded.dictionary) + np.arange(len(texts))
         sizes = np.fromiter(map(len, entries), dtype=np.int64, count=len(entries))
         flat = np.fromiter(chain.from_iterable(entries), dtype=np.int32, count=int(sizes.sum()))
-        n = sizes[index]
-        ends = np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(n)))
-        shift = (np.cumsum(sizes) - sizes)[index] - ends[:-1]
-        ids = flat[np.repeat(shift, n) + np.arange(int(ends[-1]))]
-        return pa.ListArray.from_arrays(pa.array(ends[begin], pa.int32()), pa.array(ids))
+        offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+        taken = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)).take(pa.array(index))
+        return pa.ListArray.from_arrays(pa.array(taken.offsets.to_numpy()[begin]), taken.values)
 
 
 # A space at the end or beside another white-space character.

@@ -15,13 +15,19 @@ from pyspark.sql import functions as F
 from forecourt.session import fresh_path
 
 _SHIPPED: set[str] = set()
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
 
 
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package to the executors, once per application.
 
-    Python tasks import it there, wherever the driver itself found it.
+    Python tasks import it there, wherever the driver itself found it.  Arrow batches
+    are cut to ``BATCH_ROWS`` rows where the session has Spark's default: rows are
+    whole texts, and a task holds a batch several times.
     """
+    if spark.conf.get(_BATCH, "10000") == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
