@@ -132,6 +132,16 @@ def ball_links(fps: DataFrame, half: int = HALF) -> DataFrame:
         F.col("fp").alias("src"), F.col("least").alias("dst"))
 
 
+def _grouped(each: DataFrame) -> DataFrame:
+    """``fp, first, component`` of the different fingerprints of ``each`` (``doc_id, fp``);
+    ``first`` is the smallest ``doc_id`` with the fingerprint."""
+    nodes, _ = staged(each.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
+    near, _ = staged(with_partners(nodes), "simhash-near")
+    groups = connected_components(ball_links(near))
+    return nodes.join(groups, nodes.fp == groups.node, "left").select(
+        "fp", "first", F.coalesce("component", "fp").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE_WORDS) -> DataFrame:
     """Per row of ``docs``: ``doc_id, fingerprint`` (16 hex digits), ``component_id``.
@@ -143,11 +153,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     is a node of the graph, but never the smallest (null if all are null).
     """
     each, _ = staged(fingerprints(docs, id_col, text_col, shingle), "simhash-fingerprints")
-    nodes, _ = staged(each.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
-    near, _ = staged(with_partners(nodes), "simhash-near")
-    groups = connected_components(ball_links(near))
-    named = nodes.join(groups, nodes.fp == groups.node, "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("component"))
+    named = _grouped(each)
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
     by_fp = named.join(least, "component").select(F.col("fp").alias("of"), "component_id")
     return each.join(by_fp, each.fp == by_fp.of).select(
@@ -156,11 +162,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of near duplicates: that of the smallest id,
-    and of several rows with this id that of the smallest text (nulls first).  Rows
-    without an id stay where a group has no id at all."""
-    first, row = unused(docs, "first_id"), unused(docs, "row")
-    groups = near_duplicates(docs, id_col, text_col)
-    chosen = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(first)).distinct()
-    rows = docs.join(chosen, docs[id_col].cast("long").eqNullSafe(F.col(first)))
-    order = Window.partitionBy(first).orderBy(text_col)
-    return rows.withColumn(row, F.row_number().over(order)).filter(F.col(row) == 1).drop(row, first)
+    and of several rows with this id that of the smallest text (nulls first).  The row is
+    chosen by group, not by id: rows that share an id, or have none, are told apart by
+    their text.  A null id comes after all others."""
+    group, key, h1, h2, row = (unused(docs, n) for n in ("group", "group_id", "group_h1", "group_h2", "row"))
+    text = F.col(text_col).cast("string")
+    marks = F.xxhash64(text), F.xxhash64(F.lit(1), text)
+
+    def prints(cols: dict[str, list]) -> dict[str, list]:
+        return {n: cols[n] for n in ("doc_id", "h1", "h2")} | {"fp": [_signed(fingerprint(t)) for t in cols["text"]]}
+
+    each = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"),
+                       marks[0].alias("h1"), marks[1].alias("h2"))
+    each, _ = staged(map_batches(each, prints, "doc_id long, h1 long, h2 long, fp long"), "simhash-fingerprints")
+    named, _ = staged(_grouped(each), "simhash-groups")
+    least = named.groupBy("component").agg(F.min("first").alias("least"))
+    of = named.join(least, "component").select(F.col("fp").alias("of"), "component", "least")
+    chosen = (each.distinct().join(of, F.col("fp") == F.col("of")).filter(F.col("doc_id").eqNullSafe(F.col("least")))
+              .select(F.col("component").alias(group), F.col("doc_id").alias(key), F.col("h1").alias(h1), F.col("h2").alias(h2)))
+    rows = docs.join(chosen, docs[id_col].cast("long").eqNullSafe(F.col(key))
+                     & (marks[0] == F.col(h1)) & (marks[1] == F.col(h2)))
+    order = Window.partitionBy(group).orderBy(text_col)
+    return rows.withColumn(row, F.row_number().over(order)).filter(F.col(row) == 1).select(docs.columns)

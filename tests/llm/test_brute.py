@@ -77,6 +77,18 @@ def test_keep_first(docs, frame):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c in brute.near_duplicates(docs).values()})
 
 
+def test_keep_first_chooses_by_group(spark):
+    rng = random.Random(11)
+    a, b, c, d, e = (" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(40)) for _ in range(5))
+    rows = [(5, a, 1), (5, b, 2), (3, b, 3), (None, c, 4), (None, d, 5), (None, c, 6), (9, d, 7), (None, e, 8),
+            (7, e.upper(), 9), (7, e, 10), (None, None, 11), (None, "", 12)]
+    got = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string, n int")).collect()
+    assert sorted(((r.doc_id or 0), r.text or "") for r in got) == sorted(
+        [(5, a), (3, b), (0, c), (9, d), (7, e.upper()), (0, "")])   # upper case sorts first
+    many = [(None, " ".join(f"x{i}y{k}" for k in range(30)), i) for i in range(200)]
+    assert simhash.keep_first(spark.createDataFrame(many, "doc_id long, text string, n int")).count() == 200
+
+
 def near_lines():
     rng = random.Random(3)
     base = ["the quick brown fox jumps", "aaaaaaaaaaaaaaaaaaaaaa", "ünïcödé line of some length", "short one"]
