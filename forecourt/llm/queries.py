@@ -59,7 +59,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"))
+    return paragraphs.repeated_passages(table(spark, sf_dir, "documents"))
 
 
 @query

@@ -152,6 +152,47 @@ def test_paragraphs(spark):
     assert paragraphs.repeated_paragraphs(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_passages(spark):
+    rng = random.Random(4)
+
+    def prose(n):
+        return [f"p{rng.randrange(10 ** 7)}" for _ in range(n)]
+
+    def lines_of(words, n):
+        return "\n".join(" ".join(words[k:k + n]) for k in range(0, len(words), n))
+
+    inside, over, near, exact = prose(70), prose(70), prose(120), prose(50)
+    changed = list(near)
+    changed[40], changed[85] = "other1", "other2"
+    short = " ".join(prose(9))
+
+    def around(passage, before, after):
+        return " ".join(prose(before) + passage + prose(after))
+
+    planted = {1: (30, 70), 2: (55, 70), 3: (40, 70), 4: (21, 70), 5: (10, 120), 6: (33, 120), 11: (25, 50), 12: (60, 50)}
+    rows = [(1, around(inside, 30, 40)), (2, around(inside, 55, 12)),
+            (3, lines_of(prose(40) + over + prose(9), 11)), (4, lines_of(prose(21) + over + prose(30), 17)),
+            (5, around(near, 10, 20)), (6, around(changed, 33, 0)),
+            (7, f"{around([], 20, 0)}\n{short}"), (8, f"{short}\n{around([], 60, 0)}"),
+            (9, around([], 300, 0)), (10, " ".join(["same"] * 60)), (11, around(exact, 25, 30)), (12, around(exact, 60, 8)),
+            (None, around(inside, 5, 5)), (None, around(inside, 5, 6)), (13, None), (14, "")]
+    got = paragraphs.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.line_no, r.kept) for r in got if r.unit == "line"} == {(7, 1, True), (8, 0, False)}
+    spans = [r for r in got if r.unit == "passage" and r.doc_id is not None]
+    assert {r.doc_id for r in spans} == set(planted)
+    for doc, (start, n) in planted.items():
+        words = {k for r in spans if r.doc_id == doc for k in range(r.first_word, r.first_word + r.n_words)}
+        assert len(words & set(range(start, start + n))) >= n - 24
+        assert words <= set(range(start - 6, start + n + 6))
+    assert {(r.doc_id, r.kept) for r in spans} == {(3, True), (4, False), (5, True), (6, False), (1, False), (2, False), (11, True), (12, False)}
+    none = [r for r in got if r.doc_id is None]
+    assert sorted(r.kept for r in none) == [False, True]   # the same passage, in texts without an id
+    assert [r.line_no for r in spans if r.doc_id == 4] == [min(r.first_word // 17 for r in spans if r.doc_id == 4)]
+    twice = paragraphs.repeated_passages(spark.createDataFrame([(1, rows[8][1])] * 2, "doc_id long, text string")).collect()
+    assert {(r.n_rows, r.kept) for r in twice if r.unit == "passage"} == {(2, True)}
+    assert paragraphs.repeated_passages(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
 def test_vectors(spark):
     rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     n = len(rows)
