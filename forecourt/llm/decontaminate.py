@@ -124,8 +124,9 @@ def window_places(docs: DataFrame, windows: DataFrame, width: int = WIDTH) -> Da
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    return map_batches(docs, lambda c: {"doc_id": c["doc_id"], "n_words": [len(words_of(t)) for t in c["text"]]},
-                       "doc_id long, n_words long", rows=1024)
+    """``doc_id, of, n_words``"""
+    return map_batches(docs, lambda c: {"doc_id": c["doc_id"], "of": c["of"], "n_words": [len(words_of(t)) for t in c["text"]]},
+                       "doc_id long, of long, n_words long", rows=1024)
 
 
 def covered_words(places: DataFrame) -> DataFrame:
@@ -144,20 +145,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, id_
     ``n_hit`` counts the words inside any occurrence of a window, ``n_items`` the
     items with an occurring window; ``items_sha256`` is the digest of their ids,
     sorted as text and joined by commas.  Null and empty texts have no words;
-    items without words have no window.  Rows that share a ``doc_id`` are told as
-    one document (their hits together, each row with its own ``n_words``); rows
-    without an id get no hits.  An empty benchmark leaves every document clean.
+    items without words have no window.  Rows that share a ``doc_id``, or have none,
+    are told apart by their text.  An empty benchmark leaves every document clean.
     """
-    docs = keyed_text(docs, id_col, text_col)
+    docs = keyed_text(docs, id_col, text_col).withColumn("of", F.xxhash64("doc_id", "text"))
+    texts = docs.select(F.col("of").alias("doc_id"), "text").dropna(subset=["text"])
     windows, _ = staged(benchmark_windows(benchmark, item_col, item_text_col, width), "decontaminate-windows")
-    places, _ = staged(window_places(docs.dropna(subset=["doc_id"]), windows, width).distinct(),
-                       "decontaminate-places")
+    places, _ = staged(window_places(texts, windows, width).distinct(), "decontaminate-places")
     items = (places.select("doc_id", "window").distinct().join(windows, "window")
-             .groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
-             .select("doc_id", F.size("items").cast("long").alias("n_items"),
+             .groupBy(F.col("doc_id").alias("of")).agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+             .select("of", F.size("items").cast("long").alias("n_items"),
                      F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256")))
-    hit = covered_words(places)
-    return (word_counts(docs).join(hit, "doc_id", "left").join(items, "doc_id", "left")
+    hit = covered_words(places).withColumnRenamed("doc_id", "of")
+    return (word_counts(docs).join(hit, "of", "left").join(items, "of", "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
                     F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),

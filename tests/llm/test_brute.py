@@ -45,6 +45,15 @@ def test_decontamination_without_items(spark, docs, frame):
     assert empty.count() == 0
 
 
+def test_decontamination_by_text(spark):
+    item = "one two three four five six seven eight nine ten"
+    rows = [(None, f"so {item} there"), (None, "clean text"), (5, f"{item} again {item}"), (5, "also clean"), (5, None), (6, None)]
+    got = decontaminate.contamination(spark.createDataFrame(rows, "doc_id long, text string"),
+                                      spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_words, r.n_hit, r.n_items, r.contaminated) for r in got) == [
+        (0, 2, 0, 0, False), (0, 12, 10, 1, True), (5, 0, 0, 0, False), (5, 2, 0, 0, False), (5, 21, 20, 1, True), (6, 0, 0, 0, False)]
+
+
 def test_simhash(docs, frame):
     got = simhash.near_duplicates(frame)
     assert {r[0]: tuple(r)[1:] for r in got.collect()} == brute.near_duplicates(docs)
