@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import (bpe, decontaminate, lines, paragraphs, replytrees, sharding, simhash, toxicity,
+from forecourt.llm import (bpe, decontaminate, lines, paragraphs, prefixtrie, ranking, replytrees, sharding, simhash, toxicity,
                            vectors, wordpiece)
 from forecourt.llm.common import ship, table
 
@@ -86,6 +86,16 @@ def op9_wordpiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   vocabulary("word_bpe_49k.json")).drop("text")
 
 
+@query
+def op11_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 _ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), {_ASCII}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -126,3 +136,68 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(16 + role_chars + text_chars) AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id
 """
+
+ORACLES["op11_ranking"] = rf"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_ASCII}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+asked AS (
+    SELECT item_id, term, count(*) AS times FROM (
+        SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_ASCII}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark) GROUP BY item_id, term),
+docs AS (SELECT row_number() OVER () AS r, doc_id, len(w) AS n, w FROM words),
+totals AS (SELECT count(*) FILTER (n > 0) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM docs),
+tf AS (
+    SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM docs)
+    WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), totals),
+worth AS (
+    SELECT r, term, weights.w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * nn) // ll))) AS s
+    FROM tf JOIN weights USING (term) JOIN docs USING (r), totals),
+scores AS (
+    SELECT item_id, r, CAST(sum(times * s) AS BIGINT) AS score FROM asked JOIN worth USING (term) GROUP BY item_id, r),
+placed AS (
+    SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+    FROM scores JOIN docs USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 20
+"""
+
+ORACLES["op13_prefix_trie"] = r"""
+WITH crc_table AS (
+    SELECT list_transform(range(256), lambda x: list_reduce(range(8), lambda c, i:
+        CASE WHEN (c & 1) = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, x)) AS t),
+convs AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS base, xor(4294967295, list_reduce(
+        list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1), lambda i: CAST(ord(CAST(conv_id AS VARCHAR)[i]) AS BIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295)) % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL), crc_table),
+told AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS t,
+           len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+    FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, t) AS pos FROM told),
+rebuilt AS (
+    SELECT o.conv_id, pos, t, words FROM own o JOIN convs c ON o.conv_id = c.conv_id AND pos > h
+    UNION ALL SELECT c.conv_id, pos, t, words FROM own o JOIN convs c ON o.conv_id = c.base AND pos <= h),
+steps AS (SELECT conv_id, t, words, row_number() OVER (PARTITION BY conv_id ORDER BY pos) AS d FROM rebuilt),
+prefixes AS (
+    SELECT conv_id, d, words, string_agg(t, '') OVER (PARTITION BY conv_id ORDER BY d ROWS UNBOUNDED PRECEDING) AS path FROM steps
+    UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+lasts AS (SELECT conv_id, max(d) AS d FROM prefixes GROUP BY conv_id),
+ends AS (
+    SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM prefixes JOIN lasts USING (conv_id, d) GROUP BY path),
+nodes AS (
+    SELECT path, d, left(path, greatest(CAST(32 * (d - 1) AS BIGINT), 0)) AS up, min(conv_id) AS conv_id, count(*) AS n, any_value(words) AS words
+    FROM prefixes GROUP BY path, d),
+kids AS (SELECT up AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY up),
+below AS (
+    SELECT left(path, CAST(32 * k AS BIGINT)) AS path, sum(leaf) AS leaves, sum(saved) AS saved
+    FROM (SELECT path, unnest(range(d + 1)) AS k, CASE WHEN kids.n IS NULL THEN 1 ELSE 0 END AS leaf, (nodes.n - 1) * words AS saved
+          FROM nodes LEFT JOIN kids USING (path)) GROUP BY 1)
+SELECT nodes.conv_id, CAST(nodes.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, nodes.n AS n_convs, coalesce(kids.n, 0) AS n_children,
+       CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes JOIN below USING (path) LEFT JOIN kids USING (path) LEFT JOIN ends USING (path)
+LEFT JOIN nodes p ON nodes.d > 0 AND p.path = nodes.up
+"""
