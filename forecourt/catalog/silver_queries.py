@@ -12,8 +12,9 @@ from forecourt.catalog.listings import (AS_OF, AS_OF_YEAR, RUN_ID, RUN_TS, listi
                                         with_listings)
 from forecourt.operators import frequency, keys, routing, shape
 from forecourt.plans import coverage, jobs, profile, quality, silver
-from forecourt.session import fresh_path
+from forecourt.session import fresh_path, path_exists
 from forecourt.sources import manifest, readers, writers
+from forecourt.sources.state import rename
 from forecourt.streaming.incremental import incremental_silver_stream
 
 QUERIES: dict = {}
@@ -619,6 +620,74 @@ def files_known_by_path(spark, sf_dir):
         F.sum("raw").alias("raw"), F.sum("quarantined").alias("quarantined"))
 
 
+# folder of each feed, with characters that paths and patterns treat apart
+ODD_FOLDERS = {"A": "my feed 100%", "N": "part[1]{x,y}?", "R": "a%20b+\u00e9"}
+
+
+def _odd_feed(spark: SparkSession, sf_dir: str) -> str:
+    """The raw feed in folders of odd names."""
+    path = fresh_path(spark, "odd-feed")
+    raw_lines(spark, sf_dir).write.partitionBy("feed").text(path)
+    for feed, folder in ODD_FOLDERS.items():
+        if path_exists(spark, f"{path}/feed={feed}"):
+            rename(spark, f"{path}/feed={feed}", f"{path}/{folder}")
+    return path
+
+
+def _put(spark: SparkSession, path: str, data: bytes) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where)
+    for byte in data:
+        out.write(byte)
+    out.close()
+
+
+_FOLDER_SQL = "CASE substr(_source_file, 6, 1) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ODD_FOLDERS.items()) + " END"
+
+
+@query("files_of_any_name", silver_sql(f"""
+SELECT folder, raw, coalesce(silver, 0) AS silver, raw - valid AS quarantined, true AS read_once
+FROM (SELECT {_FOLDER_SQL} AS folder, count(*) AS raw FROM listings WHERE NOT ({BLANK}) GROUP BY 1)
+LEFT JOIN (SELECT {_FOLDER_SQL} AS folder, count(*) AS valid FROM valid GROUP BY 1) USING (folder)
+LEFT JOIN (SELECT {_FOLDER_SQL} AS folder, count(*) AS silver FROM stored GROUP BY 1) USING (folder)""",
+       """stored AS (SELECT * FROM valid
+  QUALIFY row_number() OVER (PARTITION BY vin ORDER BY """ + _FOLDER_SQL + """) = 1)"""))
+def files_of_any_name(spark, sf_dir):
+    """Names with blanks, percent signs, brackets and letters of any kind; each file is read once."""
+    raw, root = _odd_feed(spark, sf_dir), fresh_path(spark, "odd-lake")
+    for run in ("one", "two"):
+        result = jobs.run_silver(spark, raw, root, run_id=run, run_ts=RUN_TS, glob=FEED_GLOB)
+    folder = F.regexp_extract("source_file", "^([^/]*)/", 1)
+    return jobs.SilverLake(root).read_log(spark).groupBy(folder.alias("folder")).agg(
+        F.sum("raw").alias("raw"), F.sum("silver").alias("silver"), F.sum("quarantined").alias("quarantined"),
+        F.lit(result.counts["files_processed"] == 0).alias("read_once"))
+
+
+@query("unreadable_files", silver_sql(f"""
+SELECT count(DISTINCT _source_file) AS files_processed, 1::BIGINT AS files_failed, 2::BIGINT AS files_skipped, false AS success,
+  count(*) AS total_raw_records, 0::BIGINT AS pending_after, count(DISTINCT _source_file) + 3 AS known_after
+FROM listings WHERE NOT ({BLANK})"""))
+def unreadable_files(spark, sf_dir):
+    """A file that cannot be read, one of blank lines and one of no bytes among the feeds."""
+    raw, root = fresh_path(spark, "faulty-feed"), fresh_path(spark, "faulty-lake")
+    raw_lines(spark, sf_dir).write.partitionBy("feed").text(raw)
+    _put(spark, f"{raw}/blank lines.txt", b"\n  \n\n")
+    _put(spark, f"{raw}/empty.txt", b"")
+    _put(spark, f"{raw}/broken.txt.gz", b"not compressed")
+
+    def named(path):
+        feed = F.regexp_extract(path, "feed=([^/]+)", 1)
+        return F.when(feed != "", feed).otherwise(F.element_at(F.split(path, "/"), -1))
+
+    first, second = [jobs.run_silver(spark, raw, root, run_id=run, run_ts=RUN_TS, source_file=named, glob="*.txt*")
+                     for run in ("one", "two")]
+    found = ("files_processed", "files_failed", "files_skipped", "total_raw_records")
+    return jobs.SilverLake(root).read_log(spark).agg(
+        *[F.lit(first.counts[c]).cast("bigint").alias(c) for c in found], F.lit(first.success).alias("success"),
+        F.lit(second.counts["files_processed"]).cast("bigint").alias("pending_after"),
+        F.count_distinct("source_file").alias("known_after"))
+
+
 @query("malformed_line_text", with_listings(f"""
 SELECT _source_file, count(*) AS rows, 30 AS shortest, 30 AS longest FROM listings WHERE {CORRUPT} GROUP BY 1"""))
 def malformed_line_text(spark, sf_dir):

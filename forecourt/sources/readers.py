@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from forecourt import fixed_values as fixed
 from forecourt.functions import strip
+from forecourt.session import path_exists
+from forecourt.sources.state import STARTED_DIR, live_root, unfinished_runs
 
 CORRUPT = "_corrupt"
 RAW_TEXT = "_raw_text"
@@ -65,6 +67,18 @@ def file_position() -> list[Column]:
             F.monotonically_increasing_id().alias("_row_in_task")]
 
 
+FILE_LOG_SCHEMA = ("source_file string, run_id string, completed_at string, raw bigint, "
+                   "silver bigint, quarantined bigint, cross_dedup bigint, failed boolean, error string")
+
+
+def file_log(spark: SparkSession, live: str) -> DataFrame:
+    """The log of files that runs have read below ``live``; empty before the first run."""
+    path = f"{live}/{fixed.META_DIR}/file_log"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], FILE_LOG_SCHEMA)
+    return spark.read.schema(FILE_LOG_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
+
+
 def parquet_scan(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
     """A table by its root folder.  Spark skips paths that start with ``_``, so
     the quarantine and bookkeeping folders below the root stay out."""
@@ -74,8 +88,13 @@ def parquet_scan(spark: SparkSession, root: str, schema: T.StructType | None = N
 
 def quarantine_scan(spark: SparkSession, root: str, with_text: bool = False) -> DataFrame:
     """The quarantine below a table root, reasons last; ``with_text`` adds the text
-    of lines that could not be parsed."""
-    table = spark.read.parquet(f"{root}/{fixed.QUARANTINE_DIR}")
+    of lines that could not be parsed.  Rejects of runs that have not ended are left out."""
+    live = live_root(spark, root)
+    table = spark.read.parquet(f"{live}/{fixed.QUARANTINE_DIR}")
+    if path_exists(spark, f"{live}/{STARTED_DIR}"):
+        unfinished = unfinished_runs(spark, live, file_log(spark, live))
+        table = table.join(F.broadcast(unfinished.select(F.col("run_id").alias("_pipeline_run_id"))),   # runs under way
+                           "_pipeline_run_id", "left_anti")
     return table.select(*fixed.SILVER_COLUMNS, fixed.REJECTION_COLUMN, *([RAW_TEXT] if with_text else []))
 
 

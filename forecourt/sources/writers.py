@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from forecourt import fixed_values as fixed
 from forecourt.operators.keys import first_per_key
-from forecourt.session import drop_path
+from forecourt.session import drop_path, path_exists
+from forecourt.sources.state import rename
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
@@ -32,6 +34,39 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     return int(watch.get["rows"])
 
 
+def replace_table(spark: SparkSession, path: str, write: Callable[[str], int]) -> int:
+    """Replace the table at ``path`` by what ``write`` stores at the path it is given,
+    and return what ``write`` returns.
+
+    The new table is written aside and takes the old one's place by renaming; a write
+    that fails leaves the old table.
+    """
+    mark = uuid.uuid4().hex
+    aside, old = f"{path}.new-{mark}", f"{path}.old-{mark}"
+    try:
+        rows = write(aside)
+    except BaseException:
+        drop_path(spark, aside)
+        raise
+    if path_exists(spark, path):
+        rename(spark, path, old)
+        try:
+            rename(spark, aside, path)
+        except BaseException:
+            rename(spark, old, path)
+            drop_path(spark, aside)
+            raise
+        drop_path(spark, old)
+    else:
+        rename(spark, aside, path)
+    return rows
+
+
+def replace_parquet(df: DataFrame, path: str) -> int:
+    """:func:`write_parquet` in the place of the table at ``path``, which ``df`` may read."""
+    return replace_table(df.sparkSession, path, lambda aside: write_parquet(df, aside))
+
+
 def run_folder(path: str, run_id: str) -> str:
     """Partition folder of one run; Spark reads the run id from its name."""
     if not re.fullmatch(r"[\w.-]+", run_id):
@@ -41,20 +76,21 @@ def run_folder(path: str, run_id: str) -> str:
 
 def write_silver(df: DataFrame, path: str, run_id: str, full_refresh: bool = False) -> int:
     """Store a run's silver rows in its own partition folder; the same run
-    written again replaces itself.  A full refresh first drops all runs."""
+    written again replaces itself.  A full refresh puts them in the place of all runs."""
+    rows = df.drop("_pipeline_run_id")
     if full_refresh:
-        drop_path(df.sparkSession, path)
-    return write_parquet(df.drop("_pipeline_run_id"), run_folder(path, run_id))
+        return replace_table(df.sparkSession, path, lambda aside: write_parquet(rows, run_folder(aside, run_id)))
+    return write_parquet(rows, run_folder(path, run_id))
 
 
 def write_quarantine(df: DataFrame, root: str, run_id: str, full_refresh: bool = False) -> int:
     """Store a run's rejects below the table root in its own partition folder.  The
     same run written again replaces its rejects, also by none; other runs' stay.
-    A full refresh drops all runs' first."""
-    path = f"{root}/{fixed.QUARANTINE_DIR}"
+    A full refresh puts them in the place of all runs'."""
+    path, rows = f"{root}/{fixed.QUARANTINE_DIR}", df.drop("_pipeline_run_id").hint("rebalance")
     if full_refresh:
-        drop_path(df.sparkSession, path)
-    return write_parquet(df.drop("_pipeline_run_id").hint("rebalance"), run_folder(path, run_id))
+        return replace_table(df.sparkSession, path, lambda aside: write_parquet(rows, run_folder(aside, run_id)))
+    return write_parquet(rows, run_folder(path, run_id))
 
 
 def compact(df: DataFrame, path: str, total_bytes: int | None = None,

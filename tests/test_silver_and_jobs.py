@@ -68,7 +68,7 @@ def test_run_silver_incremental_and_idempotent(spark, folder):
     first = run(spark, folder)
     assert first.success and first.counts == {
         "files_processed": 2, "total_raw_records": 6, "total_silver_records": 3, "total_quarantined": 1,
-        "total_cross_dedup": 2, "files_skipped": 0}
+        "total_cross_dedup": 2, "files_failed": 0, "files_skipped": 0}
     assert {r.vin: r.list_price for r in table(spark, folder).collect()} == {"1": 1.0, "2": 100.5, "3": 100.5}
     again = run(spark, folder)
     assert again.counts == {"files_processed": 0, "files_skipped": 2} and table(spark, folder).count() == 3
@@ -133,6 +133,154 @@ def test_rejects_of_a_repeated_run_are_replaced(spark, folder):
     assert spark.read.schema(frame.schema).parquet(f"{folder}/silver/{fixed.QUARANTINE_DIR}").count() == 0
 
 
+ODD_NAMES = ["my file.jsonl", "part[1].jsonl", "100%.jsonl", "a%20b.jsonl", "x+y.jsonl", "{a,b}.jsonl", "q?*.jsonl", "\u00e9 \u4e2d#&.jsonl"]
+
+
+def test_files_of_any_name(spark, folder):
+    for i, name in enumerate(ODD_NAMES):
+        write_feed(f"{folder}/raw/odd [d] %", name, [raw_record(f"{i}-{j}") for j in range(i + 1)] + [raw_record(None)])
+    first = run(spark, folder)
+    assert first.success and first.counts["files_processed"] == len(ODD_NAMES)
+    log = {r.source_file: (r.silver, r.quarantined) for r in jobs.SilverLake(f"{folder}/silver").read_log(spark).collect()}
+    assert log == {f"odd [d] %/{name}": (i + 1, 1) for i, name in enumerate(ODD_NAMES)}
+    assert {r[0] for r in table(spark, folder).select("_source_file").distinct().collect()} == set(log)
+    assert run(spark, folder).counts == {"files_processed": 0, "files_skipped": len(ODD_NAMES)}
+    write_feed(f"{folder}/raw", "new one.jsonl", [raw_record("n")])
+    assert run(spark, folder).counts["files_processed"] == 1
+
+
+def test_listing_does_not_read_the_files(spark, folder):
+    from forecourt.sources.listing import file_listing
+
+    write_feed(f"{folder}/raw", "a b.jsonl", [raw_record("1")])
+    open(f"{folder}/raw/empty.jsonl", "w").close()
+    listed = file_listing(spark, f"{folder}/raw", "*.json*")
+    assert sorted((os.path.basename(r.path), r.length > 0) for r in listed.collect()) == [("a b.jsonl", True), ("empty.jsonl", False)]
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[-1]
+    nothing = file_listing(spark, f"{folder}/raw", "*.none")
+    assert nothing.count() == 0
+
+
+def _gz(path, lines, cut=None):
+    import gzip
+
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    data = gzip.compress("\n".join(lines).encode())
+    with open(path, "wb") as f:
+        f.write(data[:cut])
+
+
+def test_unreadable_and_blank_files_fail_alone(spark, folder):
+    lines = [json.dumps({"vin": f"g{i}", "year": 2020, "text": "x" * (i % 50)}) for i in range(5000)]
+    write_feed(f"{folder}/raw", "a.jsonl", [raw_record("1"), raw_record("2")])
+    write_feed(f"{folder}/raw", "blank.jsonl", ["", "   ", ""])
+    open(f"{folder}/raw/empty.jsonl", "w").close()
+    _gz(f"{folder}/raw/sound.json.gz", [json.dumps({"vin": "z", "year": 2020})])
+    _gz(f"{folder}/raw/cut.json.gz", lines, cut=-4000)        # begins well
+    with open(f"{folder}/raw/junk.json.gz", "wb") as f:
+        f.write(b"no gzip at all")
+    first = run(spark, folder)
+    counts = {k: first.counts[k] for k in ("files_processed", "files_failed", "files_skipped", "total_raw_records")}
+    assert counts == {"files_processed": 2, "files_failed": 2, "files_skipped": 2, "total_raw_records": 3} and not first.success
+    assert sorted(r.vin for r in table(spark, folder).collect()) == ["1", "2", "z"]   # nothing of the cut file
+    log = {r.source_file: (r.raw, r.failed, r.error) for r in first.details.collect()}
+    assert log["cut.json.gz"] == log["junk.json.gz"] == (0, True, "unreadable")
+    assert log["blank.jsonl"] == log["empty.jsonl"] == (0, False, None) and log["a.jsonl"][0] == 2
+    assert run(spark, folder).counts == {"files_processed": 0, "files_skipped": 6}
+    _gz(f"{folder}/raw/cut.json.gz", lines[:10])              # repaired
+    again = run(spark, folder, retry_failed=True)
+    assert (again.counts["files_processed"], again.counts["files_failed"], again.counts["files_skipped"]) == (1, 1, 4)
+    assert table(spark, folder).count() == 13
+
+
+def test_only_unreadable_files(spark, folder):
+    os.makedirs(f"{folder}/raw")
+    with open(f"{folder}/raw/junk.json.gz", "wb") as f:
+        f.write(b"no gzip at all")
+    first = run(spark, folder)
+    assert first.counts["files_failed"] == 1 and table(spark, folder).count() == 0
+    assert run(spark, folder).counts == {"files_processed": 0, "files_skipped": 1}
+
+
+def test_plain_files_are_compared_with_their_listed_length(spark, folder):
+    from forecourt.sources.listing import file_listing, unreadable_files
+
+    os.makedirs(f"{folder}/raw")
+    for name, data in (("end.jsonl", b"a\nb\n"), ("open.jsonl", b"a\nb"), ("crlf.jsonl", b"a\r\nb\r\n"), ("bom.jsonl", b"\xef\xbb\xbfa\n"),
+                       ("odd.jsonl", b"\xff\xfe\n\n"), ("breaks.jsonl", b"\n\n\n")):
+        with open(f"{folder}/raw/{name}", "wb") as f:
+            f.write(data)
+    listed = file_listing(spark, f"{folder}/raw")
+    assert unreadable_files(spark, listed).count() == 0
+    longer = listed.withColumn("length", F.when(F.col("path").endswith("open.jsonl"), F.col("length") + 50).otherwise(F.col("length")))
+    assert [os.path.basename(r.path) for r in unreadable_files(spark, longer).collect()] == ["open.jsonl"]
+
+
+def test_a_failing_refresh_leaves_the_table(spark, folder, monkeypatch):
+    write_feed(f"{folder}/raw", "a.jsonl", [raw_record("1"), raw_record("2"), raw_record(None)])
+    run(spark, folder)
+    write_feed(f"{folder}/raw", "b.jsonl", [raw_record("3")])
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("disk full")
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "write_quarantine", broken)
+        with pytest.raises(RuntimeError):
+            run(spark, folder, full_refresh=True)
+    assert sorted(r.vin for r in table(spark, folder).collect()) == ["1", "2"]
+    assert readers.quarantine_scan(spark, f"{folder}/silver").count() == 1
+    assert run(spark, folder).counts["files_processed"] == 1               # goes on where it was
+    for _ in range(3):
+        assert run(spark, folder, full_refresh=True).counts["files_processed"] == 2
+    assert sorted(r.vin for r in table(spark, folder).collect()) == ["1", "2", "3"]
+    assert readers.quarantine_scan(spark, f"{folder}/silver").count() == 1
+    assert sorted(os.listdir(f"{folder}/silver")) == ["_v000002", "_v000003", "_versions"]   # the live one and the one before
+
+
+def test_a_table_is_replaced_only_by_a_whole_one(spark, folder):
+    path = f"{folder}/t"
+    assert writers.replace_parquet(spark.range(3), path) == 3
+    with pytest.raises(Exception):
+        writers.replace_parquet(spark.range(5).select(F.raise_error(F.lit("bad")).alias("id")), path)
+    assert spark.read.parquet(path).count() == 3 and os.listdir(folder) == ["t"]
+    assert writers.replace_parquet(spark.read.parquet(path).where("id > 0"), path) == 2      # reads what it replaces
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2]
+
+
+def test_rejects_of_a_run_under_way_are_neither_shown_nor_deleted(spark, folder):
+    from datetime import datetime, timedelta, timezone
+
+    from forecourt.sources import state
+
+    root = f"{folder}/silver"
+    bad = silver.silver_transform(spark.createDataFrame([("1", None)], "vin string, year string"), "r", "t", source_file=F.lit("f"))[1]
+    for run_id, hours in (("busy", 1), ("dead", 30)):
+        state.announce_run(spark, root, run_id, datetime.now(timezone.utc) - timedelta(hours=hours))
+        writers.write_quarantine(bad, root, run_id)
+    writers.write_quarantine(bad, root, "by-hand")            # never announced: nobody else's to delete
+    write_feed(f"{folder}/raw", "a.jsonl", [raw_record("1"), raw_record(None)])
+    run(spark, folder, run_id="mine")
+    shown = readers.quarantine_scan(spark, root).select("_pipeline_run_id").distinct().collect()
+    assert sorted(r[0] for r in shown) == ["by-hand", "mine"]
+    stored = spark.read.parquet(f"{root}/{fixed.QUARANTINE_DIR}").select("_pipeline_run_id").distinct().collect()
+    assert sorted(r[0] for r in stored) == ["busy", "by-hand", "mine"]
+
+
+def test_unreadable_stored_files_are_left_out_and_counted(spark, folder):
+    root = f"{folder}/silver"
+    writers.write_silver(silver_table(spark, 120), f"{root}/listings", "r")
+    writers.write_silver(silver_table(spark, 5).where("vin is null and false"), f"{root}/listings", "nothing")
+    with open(f"{root}/listings/_pipeline_run_id=r/broken.parquet", "wb") as f:
+        f.write(b"not a table")
+    with pytest.raises(Exception):
+        jobs.SilverLake(root).read(spark).agg(F.count("vin")).collect()
+    done = jobs.run_gold(spark, root, f"{folder}/gold", as_of="2026-02-01 00:00:00", skip_unreadable=True)
+    assert done.success and done.counts["files_failed"] == 1
+    assert [os.path.basename(r.path) for r in jobs.SilverLake(root).unreadable(spark).collect()] == ["broken.parquet"]
+
+
 def test_missing_raw_folder_is_an_error(spark, folder):
     result = jobs.run_silver(spark, f"{folder}/nope", f"{folder}/silver")
     assert not result.success and "nope" in result.error
