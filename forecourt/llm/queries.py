@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import (bpe, decontaminate, lines, paragraphs, prefixtrie, ranking, replytrees, sharding, simhash, toxicity,
-                           vectors, wordpiece)
+from forecourt.llm import (bpe, decontaminate, language, lines, paragraphs, prefixtrie, ranking, replytrees, sharding,
+                           simhash, toxicity, vectors, wordpiece)
 from forecourt.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,11 @@ def op11_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixtrie.conversation_trie(table(spark, sf_dir, "conversations"))
