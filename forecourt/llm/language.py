@@ -155,12 +155,19 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2
 
 
-def _sample(docs: DataFrame, langs: list[str], each: int) -> DataFrame:
+def _sample(docs: DataFrame, kinds: dict[str, int], each: int) -> DataFrame:
     """``lang, h, text, place``: of each language the ``each`` texts with the smallest hashes,
-    equal texts once; ``place`` counts from 1."""
-    keys = docs.join(F.broadcast(docs.sparkSession.createDataFrame([(x,) for x in langs], "lang string")), "lang", "left_semi")
+    equal texts once; ``place`` counts from 1.
+
+    ``kinds`` has the number of different texts of each language, about.  It tells how small
+    the hashes are that can be among the smallest, so that few rows reach the ranking; in
+    the unlikely case that these are fewer than ``each`` the sample is smaller.
+    """
+    least = [(lang, min(2**63 - 1, (1 << 64) * max(4 * each, 64) // max(n, 1) - 2**63)) for lang, n in kinds.items()]
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(least, "lang string, highest long"))   # MAX_LANGS rows at most
+    keys = docs.join(chosen, "lang").filter("h <= highest").select("lang", "h").distinct()
     order = Window.partitionBy("lang").orderBy("h")
-    firsts = (keys.select("lang", "h").distinct().withColumn("place", F.row_number().over(order)).filter(F.col("place") <= each))
+    firsts = keys.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= each)
     texts = docs.join(F.broadcast(firsts), ["lang", "h"])          # at most FIT_ROWS keys, or one a language
     return texts.groupBy("lang", "h").agg(F.min("text").alias("text"), F.first("place").alias("place"))
 
@@ -176,11 +183,12 @@ def fit(docs: DataFrame, learn: Column | None = None, text_col: str = "text", la
     rows = docs if learn is None else docs.filter(learn)
     rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("text"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    counts = (rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("h").alias("kinds"))
+              .orderBy(F.desc("n"), "lang").limit(max_langs).collect())
     langs = sorted(r.lang for r in counts)
     if not langs:
         return LanguageModel((), np.zeros(0, dtype=np.uint64), np.zeros((0, 0)))
-    sample, _ = staged(_sample(rows, langs, max(1, fit_rows // len(langs))), "language-sample")
+    sample, _ = staged(_sample(rows, {r.lang: r.kinds for r in counts}, max(1, fit_rows // len(langs))), "language-sample")
     few = max(1, landmarks // len(langs))
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
