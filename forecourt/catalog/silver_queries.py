@@ -1006,17 +1006,28 @@ def iso_timestamps_in_two_zones(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
-@query("exact_quantiles", """SELECT l_returnflag, r(quantile_cont(l_extendedprice, 0.25)) AS p25,
-  r(median(l_extendedprice)) AS p50, r(quantile_cont(l_extendedprice, 0.99)) AS p99 FROM lineitem GROUP BY 1""")
-def exact_quantiles(spark, sf_dir):
-    """All groups counted as hot, so that the narrowing way is the one checked."""
+_QUARTILES = ("quantile_cont({0}, 0.25)", "median({0})", "quantile_cont({0}, 0.99)")
+
+
+def _quantile_sql(value: str, scale: str = "") -> str:
+    found = ", ".join(f"{r(f'{q.format(value)}{scale}', 3)} AS {n}" for q, n in zip(_QUARTILES, ("p25", "p50", "p99")))
+    return f"SELECT l_returnflag, {found} FROM lineitem GROUP BY 1"
+
+
+def _quantiles(df, value: str, scale: float = 1.0):
     from forecourt.operators.quantiles import exact_quantiles as quantiles
-    found = quantiles(table(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_extendedprice",
-                      [0.25, 0.5, 0.99], hot_rows=1000)
-    return found.select("l_returnflag", *[fn.half_even(F.col("quantiles")[i], 3).alias(n)
+    found = quantiles(df, ["l_returnflag"], value, [0.25, 0.5, 0.99])
+    return found.select("l_returnflag", *[fn.half_even(F.col("quantiles")[i] * F.lit(scale), 3).alias(n)
                                           for i, n in enumerate(("p25", "p50", "p99"))])
 
 
-for _agg in ("quantile_cont(l_extendedprice, 0.25)", "median(l_extendedprice)",
-             "quantile_cont(l_extendedprice, 0.99)"):
-    ORACLES["exact_quantiles"] = ORACLES["exact_quantiles"].replace(f"r({_agg})", r(_agg, 3))
+@query("exact_quantiles", _quantile_sql("l_extendedprice"))
+def exact_quantiles(spark, sf_dir):
+    return _quantiles(table(spark, sf_dir, "lineitem"), "l_extendedprice")
+
+
+@query("exact_quantiles_of_small_numbers", _quantile_sql("(l_extendedprice / 1e12)", " * 1e12"))
+def exact_quantiles_of_small_numbers(spark, sf_dir):
+    """Values near zero are told apart as well as large ones."""
+    small = table(spark, sf_dir, "lineitem").withColumn("small", F.col("l_extendedprice") / F.lit(1e12))
+    return _quantiles(small, "small", 1e12)

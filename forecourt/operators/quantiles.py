@@ -1,20 +1,16 @@
-"""Exact quantiles that hold up when one group is most of the table.
-
-The built-in exact percentile keeps one value->count map per group in the
-memory of a single task.  That is the fastest way for ordinary groups, but a
-group with a third of all rows would not fit.  Groups above ``hot_rows`` are
-therefore ranked by narrowing instead:
-
-1. count values per coarse bucket of their magnitude, find the buckets that
-   hold the wanted ranks;
-2. count only those buckets' values per fine bucket, find the fine buckets;
-3. count only those fine buckets' distinct values and read off the ranks.
-
-Buckets are monotone functions of the value, so the result is exact; each step
-is an ordinary aggregation with map-side combine whose keys spread a hot group
-over all tasks.  Hot keys and the buckets found are written as small tables: the
-planner knows their size, broadcasts them when small and shuffles otherwise, and
-no step repeats an earlier one.
+"""Exact quantiles by weighted rank selection, for groups of any size.
+
+Values are counted per group first; copies are combined before any shuffle and the
+different values of a group are spread over all tasks.  The wanted ranks are then
+found in the counts in two steps, the same for every group:
+
+1. counts are summed per bucket of the value's magnitude; running sums over a group's
+   buckets, a bounded number, tell which buckets hold the ranks;
+2. running sums over the values of these buckets alone tell the values.
+
+Buckets are a monotone function of the value, so the result is exact.  Both running
+sums are windows, which sort and spill; nothing holds a group's values in memory, no
+step needs to know which groups are large, and nothing runs before the query does.
 """
 
 from __future__ import annotations
@@ -25,83 +21,58 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecourt.operators.keys import with_keys
-from forecourt.session import stage
-
-# A group up to this many rows is aggregated in one task (a map of at most that
-# many distinct values, of the order of 100 MB).
-HOT_ROWS = 1_000_000
-
-FINE_BITS = 20      # 2^20 fine buckets per doubling of the magnitude
-COARSE_BITS = 14    # 2^14 fine buckets per coarse one
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Key values with more than ``hot_rows`` rows."""
-    return (df.groupBy(*keys).agg(F.count("*").alias("_n"))
-            .where(F.col("_n") > hot_rows).select(*keys))
 
+BUCKETS_PER_DOUBLING = 1 << 14
+_SMALLEST = 1075   # doublings from the smallest positive double to 1
 
-def staged_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
-                    ) -> DataFrame | None:
-    """The hot keys as a written table, or None when there are none.  Runs one
-    job over the key columns."""
-    found = stage(hot_keys(df, keys, hot_rows), "hot-keys")
-    return None if found.isEmpty() else found
 
+def magnitude_bucket(value: Column) -> Column:
+    """A whole number that never falls as ``value`` rises: fine where values are
+    near zero as well as where they are large, mirrored for negatives."""
+    size = F.abs(value)
+    step = (F.floor(F.log2(F.when((size > 0) & (size < float("inf")), size)) * float(BUCKETS_PER_DOUBLING))
+            + _SMALLEST * BUCKETS_PER_DOUBLING)
+    step = F.when(size == 0, 0).otherwise(F.coalesce(step, F.lit(4 * _SMALLEST * BUCKETS_PER_DOUBLING))).cast("bigint")
+    return F.when(value < 0, -step).otherwise(step)
 
-def _fine_bucket(value: Column) -> Column:
-    magnitude = F.floor(F.log2(F.abs(value) + 1.0) * float(2 ** FINE_BITS)).cast("bigint")
-    # mirrored for negatives so that buckets stay ordered like the values
-    return F.when(value < 0, -1 - magnitude).otherwise(magnitude)
 
+def _ahead(group: Sequence[str], order: str) -> Column:
+    """Sum of ``_n`` over the rows of the group before this one."""
+    upto = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.sum("_n").over(upto) - F.col("_n")
 
-def _counts_before(df: DataFrame, group: Sequence[str], step: str) -> DataFrame:
-    """Rows per (group, step) with the number of rows in earlier steps."""
-    counted = df.groupBy(*group, step).agg(F.count("*").alias("_n"))
-    upto = Window.partitionBy(*group).orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
-    return counted.withColumn("_before", F.sum("_n").over(upto) - F.col("_n"))
 
+def value_counts(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
+    """``keys, _value, _n``: how often each number occurs in each group; null and NaN do not count."""
+    number = value.cast("double")
+    rows = df.select(*keys, number.alias("_value")).where(F.col("_value").isNotNull() & ~F.isnan("_value"))
+    return rows.groupBy(*keys, "_value").agg(F.count("*").alias("_n"))
 
-def _narrow(df: DataFrame, targets: DataFrame, group: list[str], found: str, step: str
-            ) -> DataFrame:
-    """Move every target rank from its ``found`` bucket to a ``step`` inside it."""
-    held = targets.select(*group, found).distinct()
-    steps = _counts_before(df.join(held, [*group, found], "left_semi"), [*group, found], step)
-    inside = (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_n"))
-    return (steps.join(targets, [*group, found]).where(inside)
-            .select(*group, step, "_slot", (F.col("_rank") - F.col("_before")).alias("_rank"),
-                    "_total"))
 
-
-def ranked_quantiles(df: DataFrame, keys: Sequence[str], value: str,
-                     fractions: Sequence[float]) -> DataFrame:
-    """``keys`` and ``quantiles`` (array<double>) by bucket narrowing, for few
-    but arbitrarily large groups; linear interpolation between ranks."""
+def weighted_quantiles(counts: DataFrame, keys: Sequence[str], fractions: Sequence[float]) -> DataFrame:
+    """``keys`` and ``quantiles`` (array<double>) of :func:`value_counts`, linear interpolation between ranks."""
     group = list(keys)
-    number = F.col(value).cast("double")
-    rows = (df.where(number.isNotNull() & ~F.isnan(number))
-            .select(*group, number.alias("_value"))
-            .withColumn("_fine", _fine_bucket(F.col("_value")))
-            .withColumn("_coarse", F.shiftright("_fine", COARSE_BITS)))
-
+    bucketed = counts.withColumn("_bucket", magnitude_bucket(F.col("_value")))
     position = [(F.col("_total") - 1) * F.lit(float(f)) for f in fractions]
     slots = F.array(*[
-        F.struct(F.lit(2 * i + side).alias("_slot"), near(p).cast("bigint").alias("_at"))
-        for i, p in enumerate(position) for side, near in enumerate((F.floor, F.ceil))
-    ])
-    coarse = stage(
-        _counts_before(rows, group, "_coarse")
-              .withColumn("_total", F.sum("_n").over(Window.partitionBy(*group)))
-              .withColumn("_want", F.explode(F.filter(slots, lambda s: (
-                  s["_at"] >= F.col("_before")) & (s["_at"] < F.col("_before") + F.col("_n")))))
-              .select(*group, "_coarse", F.col("_want._slot").alias("_slot"),
-                      (F.col("_want._at") - F.col("_before")).alias("_rank"), "_total"),
-        "coarse-ranks")
-    fine = stage(_narrow(rows, coarse, group, "_coarse", "_fine"), "fine-ranks")
-    exact = _narrow(rows, fine, group, "_fine", "_value")
+        F.struct(F.lit(2 * i + side).alias("slot"), near(p).cast("bigint").alias("at"))
+        for i, p in enumerate(position) for side, near in enumerate((F.floor, F.ceil))])
+
+    def inside(wanted: Column) -> Column:
+        return F.filter(wanted, lambda s: (s["at"] >= F.col("_ahead")) & (s["at"] < F.col("_ahead") + F.col("_n")))
+
+    held = (bucketed.groupBy(*group, "_bucket").agg(F.sum("_n").alias("_n"))
+            .select(*group, "_bucket", "_n", _ahead(group, "_bucket").alias("_ahead"),
+                    F.sum("_n").over(Window.partitionBy(*group)).alias("_total"))
+            .select(*group, "_bucket", "_ahead", "_total", inside(slots).alias("_wanted"))
+            .where(F.size("_wanted") > 0)
+            .select(*group, "_bucket", F.col("_ahead").alias("_bucket_ahead"), "_total", "_wanted"))
+    found = (bucketed.join(held, [*group, "_bucket"])
+             .withColumn("_ahead", F.col("_bucket_ahead") + _ahead([*group, "_bucket"], "_value"))
+             .select(*group, "_total", "_value", F.explode(inside(F.col("_wanted"))).alias("_hit")))
 
     def at(slot: int) -> Column:
-        return F.max(F.when(F.col("_slot") == slot, F.col("_value")))
+        return F.max(F.when(F.col("_hit.slot") == slot, F.col("_value")))
 
     def blend(i: int, f: float) -> Column:
         place = (F.max("_total") - 1) * F.lit(float(f))
@@ -109,61 +80,36 @@ def ranked_quantiles(df: DataFrame, keys: Sequence[str], value: str,
         share = place - F.floor(place)
         return F.when(low == high, low).otherwise(low * (1.0 - share) + high * share)
 
-    return exact.groupBy(*group).agg(
+    return found.groupBy(*group).agg(
         F.array(*[blend(i, f) for i, f in enumerate(fractions)]).alias("quantiles"))
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, fractions: Sequence[float],
-                    hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``keys`` and ``quantiles`` (array<double>) of the non-null values of every
-    group; ``keys`` must not be null."""
-    number = F.col(value).cast("double")
-    rows = df.where(number.isNotNull() & ~F.isnan(number)).select(*keys, number.alias("_value"))
-    hot = staged_hot_keys(rows, keys, hot_rows)
-
-    def in_one_task(part: DataFrame) -> DataFrame:
-        wanted = F.array(*[F.lit(float(f)) for f in fractions])
-        return part.groupBy(*keys).agg(F.percentile("_value", wanted).alias("quantiles"))
-
-    if hot is None:
-        return in_one_task(rows)
-    return in_one_task(rows.join(hot, list(keys), "left_anti")).unionByName(
-        ranked_quantiles(rows.join(hot, list(keys), "left_semi"), keys, "_value", fractions))
-
-
-def _number(source: str) -> Column:
-    """The values that take part in a median: neither null nor NaN."""
-    number = F.col(source).cast("double")
-    return F.when(~F.isnan(number), number)
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, fractions: Sequence[float]) -> DataFrame:
+    """``keys`` and ``quantiles`` (array<double>) of the values of every group, nulls and
+    NaN left out; ``keys`` must not be null."""
+    return weighted_quantiles(value_counts(df, keys, F.col(value)), keys, fractions)
 
 
 def grouped_stats(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column],
-                  medians: Mapping[str, str], hot_rows: int = HOT_ROWS) -> DataFrame:
+                  medians: Mapping[str, str]) -> DataFrame:
     """One row per non-null key: ``aggregates`` plus exact ``medians``
-    (output name -> value column), in one shuffle for all ordinary groups."""
+    (output name -> value column).  ``df`` is read once for the aggregates and
+    once, keys and value columns alone, for all medians."""
     group = list(keys)
     rows = with_keys(df, group)
     if not medians:
         return rows.groupBy(*group).agg(*aggregates)
-    hot = staged_hot_keys(rows, group, hot_rows)
-    if hot is None:
-        return rows.groupBy(*group).agg(
-            *aggregates, *[F.median(_number(source)).alias(name)
-                           for name, source in medians.items()])
-
-    flagged = rows.join(hot.withColumn("_hot", F.lit(True)), group, "left")
-    ordinary = F.col("_hot").isNull()
-    table = flagged.groupBy(*group).agg(
-        *aggregates, *[F.median(F.when(ordinary, _number(source))).alias(name)
-                       for name, source in medians.items()])
-    measured = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("_measure"), F.col(source).cast("double").alias("_value"))
-        for name, source in medians.items()]))
-    long = (rows.join(hot, group, "left_semi").select(*group, measured.alias("_m"))
-            .select(*group, "_m._measure", "_m._value"))
-    ranked = ranked_quantiles(long, [*group, "_measure"], "_value", [0.5]).groupBy(*group).agg(*[
-        F.max(F.when(F.col("_measure") == name, F.col("quantiles")[0])).alias(f"_hot_{name}")
-        for name in medians])
-    merged = {name: F.coalesce(F.col(name), F.col(f"_hot_{name}")) for name in medians}
-    return (table.join(ranked, group, "left").withColumns(merged)
-            .drop(*[f"_hot_{name}" for name in medians]))
+    if len(medians) == 1:
+        (name, source), = medians.items()
+        measured = rows.select(*group, F.lit(name).alias("_measure"), F.col(source).cast("double").alias("_m"))
+    else:
+        measures = F.explode(F.array(*[
+            F.struct(F.lit(name).alias("_measure"), F.col(source).cast("double").alias("_m"))
+            for name, source in medians.items()]))
+        measured = rows.select(*group, measures.alias("_each")).select(*group, "_each._measure", "_each._m")
+    ranked = weighted_quantiles(value_counts(measured, [*group, "_measure"], F.col("_m")), [*group, "_measure"], [0.5])
+    table = ranked.groupBy(*group).agg(*[
+        F.max(F.when(F.col("_measure") == name, F.col("quantiles")[0])).alias(name) for name in medians])
+    if not aggregates:
+        return rows.select(*group).distinct().join(table, group, "left")
+    return rows.groupBy(*group).agg(*aggregates).join(table, group, "left")

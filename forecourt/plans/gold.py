@@ -17,7 +17,8 @@ from forecourt.functions import (accident_flag, age_in_years, bucket_ordinal, bu
                                  half_even, json_list_size, number_or_null, owner_count,
                                  service_event_count, timestamp_or_null, whole_number_or_null)
 from forecourt.operators.frequency import most_frequent, sorted_distinct_joined, top_n_joined
-from forecourt.operators.quantiles import HOT_ROWS, grouped_stats
+from forecourt.operators.keys import with_keys
+from forecourt.operators.quantiles import exact_quantiles, grouped_stats
 from forecourt.operators.shape import drop_columns
 from forecourt.session import stage
 
@@ -90,8 +91,7 @@ def quality_score(age: Column, mileage: Column, accident: Column, services: Colu
 
 
 def with_segment_median(df: DataFrame, keys: tuple[str, ...] = ("make", "model", "year"),
-                        value: str = "current_price", out: str = "segment_median_price",
-                        hot_rows: int = HOT_ROWS) -> DataFrame:
+                        value: str = "current_price", out: str = "segment_median_price") -> DataFrame:
     """Attach each row's group median.
 
     Medians are aggregated and joined back rather than taken over a window,
@@ -100,14 +100,13 @@ def with_segment_median(df: DataFrame, keys: tuple[str, ...] = ("make", "model",
     wide rows are not shuffled at all, and else joins by a shuffle that AQE
     splits where a group is skewed.
     """
-    medians = stage(grouped_stats(df.select(*keys, value), keys, [], {out: value}, hot_rows),
-                    "segment-medians")
+    medians = exact_quantiles(with_keys(df.select(*keys, value), keys), keys, value, [0.5])
+    medians = stage(medians.select(*keys, F.col("quantiles")[0].alias(out)), "segment-medians")
     return df.join(medians, list(keys), "left")
 
 
 def listings_enriched(clean: DataFrame, as_of: datetime | str | Column | None = None,
-                      as_of_year: int = fixed.CURRENT_YEAR,
-                      hot_rows: int = HOT_ROWS) -> DataFrame:
+                      as_of_year: int = fixed.CURRENT_YEAR) -> DataFrame:
     """Row-level facts: history flags, age, discount, bands, days on market,
     price against the group median, quality score, payment share."""
     moment = F.current_timestamp() if as_of is None else as_of
@@ -133,7 +132,7 @@ def listings_enriched(clean: DataFrame, as_of: datetime | str | Column | None =
         "quality_score": quality_score(F.col("vehicle_age_years"), F.col("mileage"),
                                        F.col("has_accident"), F.col("service_event_count")),
     })
-    facts = with_segment_median(drop_columns(base, fixed.ENRICHED_DROPS), hot_rows=hot_rows)
+    facts = with_segment_median(drop_columns(base, fixed.ENRICHED_DROPS))
     return facts.withColumn("price_vs_market", compare_to_band(
         "current_price", "segment_median_price", fixed.MARKET_BAND, fixed.MARKET_LABELS)
     ).select(*order, "has_accident", "owner_count", "service_event_count", "option_count",
@@ -142,7 +141,7 @@ def listings_enriched(clean: DataFrame, as_of: datetime | str | Column | None =
              "price_vs_market", "quality_score", "monthly_pmt_pct_of_price")
 
 
-def market_summary(clean: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def market_summary(clean: DataFrame) -> DataFrame:
     """Price, mileage, economy and engagement figures per make, model, year and body."""
     means = {"price_mean": "current_price", "list_price_mean": "list_price",
              "avg_mileage": "mileage", "avg_mpg_city": "mpg_city",
@@ -155,7 +154,7 @@ def market_summary(clean: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
          F.min("current_price").alias("price_min"), F.max("current_price").alias("price_max"),
          F.stddev_samp("current_price").alias("price_std"),
          *[_mean(source).alias(out) for out, source in means.items()]],
-        {"price_median": "current_price", "median_mileage": "mileage"}, hot_rows)
+        {"price_median": "current_price", "median_mileage": "mileage"})
     table = rounded(stats, 2)
     mean, listed = F.col("price_mean"), F.col("list_price_mean")
     return table.select(
@@ -168,8 +167,7 @@ def market_summary(clean: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         _percent(listed - mean, listed).alias("avg_discount_pct"))
 
 
-def price_segments(clean: DataFrame, as_of_year: int = fixed.CURRENT_YEAR,
-                   hot_rows: int = HOT_ROWS) -> DataFrame:
+def price_segments(clean: DataFrame, as_of_year: int = fixed.CURRENT_YEAR) -> DataFrame:
     """Figures, market share, top makes and dominant body per price segment,
     cheapest segment first."""
     unplaced = -1
@@ -183,7 +181,7 @@ def price_segments(clean: DataFrame, as_of_year: int = fixed.CURRENT_YEAR,
          _mean(age_in_years("year", as_of_year)).alias("avg_vehicle_age"),
          _mean("tp_retention_score").alias("avg_retention_score"),
          _mean("mpg_combined").alias("avg_mpg_combined")],
-        {"median_price": "current_price"}, hot_rows)
+        {"median_price": "current_price"})
     # the share is of all rows, placed in a segment or not: at most 7 rows here
     total = F.sum("_rows").over(Window.partitionBy())
     table = (rounded(stats, 2).withColumn("_total", total).where(F.col("_segment") != unplaced)
@@ -199,8 +197,7 @@ def price_segments(clean: DataFrame, as_of_year: int = fixed.CURRENT_YEAR,
                     "pct_of_market", "top_makes", "dominant_body_style"))
 
 
-def dealer_performance(clean: DataFrame, as_of_year: int = fixed.CURRENT_YEAR,
-                       hot_rows: int = HOT_ROWS) -> DataFrame:
+def dealer_performance(clean: DataFrame, as_of_year: int = fixed.CURRENT_YEAR) -> DataFrame:
     """Inventory, price, engagement and quality figures per dealer.  A dealer
     lacking any of the key attributes is left out; one whose rating changed
     shows once per rating."""
@@ -213,10 +210,12 @@ def dealer_performance(clean: DataFrame, as_of_year: int = fixed.CURRENT_YEAR,
         [F.count("listing_id").alias("inventory_count"),
          *[_mean(source).alias(out) for out, source in means.items()],
          (_mean("_accident") * 100.0).alias("pct_accident"),
-         half_even(_mean(age_in_years("year", as_of_year)), 1).alias("avg_vehicle_age"),
-         sorted_distinct_joined("make").alias("makes_offered")],
-        {"median_price": "current_price"}, hot_rows)
-    table = rounded(stats, 2, skip=("dealer_avg_rating", "avg_vehicle_age"))
+         half_even(_mean(age_in_years("year", as_of_year)), 1).alias("avg_vehicle_age")],
+        {"median_price": "current_price"})
+    # repeats of a make go before its dealer's makes are gathered
+    makes = (with_keys(clean, fixed.DEALER_KEYS).select(*fixed.DEALER_KEYS, "make").distinct()
+             .groupBy(*fixed.DEALER_KEYS).agg(sorted_distinct_joined("make").alias("makes_offered")))
+    table = rounded(stats, 2, skip=("dealer_avg_rating", "avg_vehicle_age")).join(makes, list(fixed.DEALER_KEYS), "left")
     listed, price = F.col("avg_list_price"), F.col("avg_price")
     return table.select(
         *fixed.DEALER_KEYS, "inventory_count", "avg_price", "median_price", "avg_list_price",
@@ -238,15 +237,14 @@ def baseline_prices(curve: DataFrame) -> DataFrame:
             .agg(F.avg("avg_price").alias("baseline_price")))
 
 
-def depreciation_curve(clean: DataFrame, as_of_year: int = fixed.CURRENT_YEAR,
-                       hot_rows: int = HOT_ROWS) -> DataFrame:
+def depreciation_curve(clean: DataFrame, as_of_year: int = fixed.CURRENT_YEAR) -> DataFrame:
     """Average price per make and age, against the make's baseline and against
     its next recorded age."""
     stats = grouped_stats(
         within_curve(clean, as_of_year), ["make", "vehicle_age"],
         [F.count("current_price").alias("listing_count"),
          _mean("current_price").alias("avg_price"), _mean("mileage").alias("avg_mileage")],
-        {"median_price": "current_price"}, hot_rows)
+        {"median_price": "current_price"})
     # a make has at most 26 ages, so both windows share one small partition
     # per make and the baseline needs no second aggregation or join
     by_make = Window.partitionBy("make")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from forecourt import fixed_values as fixed
 from forecourt.functions import half_even, is_filled, json_preview
 from forecourt.operators.frequency import stack_columns, top_values, value_frequencies
-from forecourt.operators.quantiles import HOT_ROWS, exact_quantiles
+from forecourt.operators.quantiles import exact_quantiles
 from forecourt.operators.shape import numeric_columns, string_columns
 from forecourt.sources.readers import line_scan
 
@@ -41,8 +41,7 @@ def per_column(df: DataFrame, columns: Sequence[str], measures) -> DataFrame:
     return wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
-def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None,
-                    hot_rows: int = HOT_ROWS) -> DataFrame:
+def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, std, min, quartiles, max and nulls per numeric column."""
     chosen = list(columns or numeric_columns(df))
 
@@ -53,7 +52,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None,
 
     stats = per_column(df, chosen, measures)
     quartiles = exact_quantiles(stack_columns(df, chosen, "double"), ["column"], "value",
-                                [0.25, 0.5, 0.75], hot_rows)
+                                [0.25, 0.5, 0.75])
     missing = F.col("_rows") - F.col("count")
     return stats.join(quartiles, "column", "left").select(
         "column", "count", "mean", "std", "min", F.col("quantiles")[0].alias("p25"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from forecourt.operators.frequency import pivot_sum
 from forecourt.operators.keys import keep_keys, top_keys, with_keys
-from forecourt.operators.quantiles import HOT_ROWS, grouped_stats
+from forecourt.operators.quantiles import grouped_stats
 
 
 def top_makes(market: DataFrame, k: int = 15) -> DataFrame:
@@ -17,11 +17,10 @@ def top_makes(market: DataFrame, k: int = 15) -> DataFrame:
     return top_keys(market, "make", "listing_count", k)
 
 
-def price_by_body(market: DataFrame, min_listings: int = 20,
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+def price_by_body(market: DataFrame, min_listings: int = 20) -> DataFrame:
     """Median of the group medians per body type, dearest first."""
     table = grouped_stats(market, ["bodytype"], [F.sum("listing_count").alias("count")],
-                          {"median_price": "price_median"}, hot_rows)
+                          {"median_price": "price_median"})
     table = table.select("bodytype", "median_price", "count")
     return table.where(F.col("count") >= min_listings).orderBy(F.desc("median_price"), "bodytype")
 

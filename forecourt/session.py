@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the jobs rely on.  AQE splits skewed join and rebalance
 # partitions, coalesces small ones and drops branches found empty at run time.
-# The object-hash limit keeps exact medians over many small groups from falling
-# back to sorting every input row.  Listings are wide: above the method limit
+# Listings are wide: above the method limit
 # the JVM would not compile a fused stage's code at all, so such stages run as
 # separately compiled projections.
 SETTINGS = {
@@ -18,7 +17,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 

@@ -10,9 +10,6 @@ from forecourt.plans import gold, summaries
 from tests.listing_fixtures import silver_row, silver_table
 from forecourt.operators.shape import SILVER
 
-HOT = [gold.HOT_ROWS, 5]  # ordinary groups only; nearly every group hot
-
-
 @pytest.fixture(scope="module")
 def clean(spark):
     return gold.clean_listings(silver_table(spark)).cache()
@@ -47,10 +44,8 @@ def few(spark, *rows):
         [silver_row(make="a", model=m, bodytype="c", year=y, current_price=p, mileage=n) for m, y, p, n in rows], SILVER))
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
-def test_market_summary(spark, hot_rows):
-    got = gold.market_summary(few(spark, ("x", 2020, 10.0, 100), ("x", 2020, 20.0, 300), ("x", 2020, 60.0, 200), ("y", 2021, 5.0, 1)),
-                              hot_rows)
+def test_market_summary(spark):
+    got = gold.market_summary(few(spark, ("x", 2020, 10.0, 100), ("x", 2020, 20.0, 300), ("x", 2020, 60.0, 200), ("y", 2021, 5.0, 1)))
     assert len(got.columns) == 22
     x, y = sorted(got.collect(), key=lambda r: r.model)
     assert (x.listing_count, x.price_min, x.price_mean, x.price_median, x.median_mileage) == (3, 10.0, 30.0, 20.0, 200.0)
@@ -58,12 +53,11 @@ def test_market_summary(spark, hot_rows):
     assert (y.listing_count, y.price_mean, y.price_median) == (1, 5.0, 5.0)
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
-def test_median_leaves_out_nan(spark, hot_rows):
+def test_median_leaves_out_nan(spark):
     from forecourt.operators.quantiles import grouped_stats
     nan = float("nan")
     rows = spark.createDataFrame([("g", v) for v in (1.0, 2.0, nan, nan, nan, None)], "k string, v double")
-    assert grouped_stats(rows, ["k"], [F.count("*").alias("n")], {"m": "v"}, hot_rows).first().m == 1.5
+    assert grouped_stats(rows, ["k"], [F.count("*").alias("n")], {"m": "v"}).first().m == 1.5
 
 
 def test_market_summary_single_row_group_has_null_std(spark):
@@ -73,45 +67,41 @@ def test_market_summary_single_row_group_has_null_std(spark):
     assert row.price_std is None and row.price_cv_pct is None and row.avg_discount_pct is None
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
-def test_price_segments(clean, frame, hot_rows):
-    cut = pd.cut(frame.current_price, [*fixed.PRICE_EDGES, np.inf], labels=fixed.PRICE_LABELS, right=False)
-    frame = frame.assign(price_segment=cut.astype(str))
-    by = frame.groupby("price_segment")
-    want = by.agg(listing_count=("current_price", "count"), avg_price=("current_price", "mean"),
-                  median_price=("current_price", "median"), avg_mileage=("mileage", "mean")).reset_index()
-    want["pct_of_market"] = want.listing_count / len(frame) * 100
-    want["top_makes"] = [", ".join(sorted(n.index, key=lambda m: (-n[m], m))[:3])
-                         for n in (g.make.value_counts() for _, g in by)]
-    want["dominant_body_style"] = [min(n.index, key=lambda m: (-n[m], m))
-                                   for n in (g.bodytype.value_counts() for _, g in by)]
-    got = gold.price_segments(clean, hot_rows=hot_rows).toPandas()
-    assert list(got.price_segment) == [s for s in fixed.PRICE_LABELS if s in set(want.price_segment)]
-    same(got, want, ["price_segment"])
-
-
-@pytest.mark.parametrize("hot_rows", HOT)
-def test_dealer_performance(clean, frame, hot_rows):
-    flag = (frame.accident_history.str.contains("accident") == True).astype(float)  # noqa: E712
-    frame = frame.assign(flag=flag, age=fixed.CURRENT_YEAR - frame.year)
-    by = frame.groupby(fixed.DEALER_KEYS)
-    want = by.agg(inventory_count=("listing_id", "count"), avg_price=("current_price", "mean"),
-                  median_price=("current_price", "median"), avg_vehicle_age=("age", "mean")).round(2).reset_index()
-    want["avg_vehicle_age"] = want.avg_vehicle_age.round(1)
-    want["pct_accident"] = (by.flag.mean() * 100).values
-    want["makes_offered"] = [", ".join(sorted(g.make.unique())) for _, g in by]
-    got = gold.dealer_performance(clean, hot_rows=hot_rows).toPandas()
+def test_price_segments(spark):
+    now = fixed.CURRENT_YEAR
+    rows = [("kia", "suv", 9_000.0, 10, now), ("kia", "suv", 9_500.0, 30, now - 2), ("ford", "van", 5_000.0, 50, now - 4),
+            ("audi", "van", 70_000.0, 5, now)]
+    table = gold.clean_listings(spark.createDataFrame(
+        [silver_row(make=m, model="x", bodytype=b, current_price=p, mileage=n, year=y) for m, b, p, n, y in rows], SILVER))
+    low, high = gold.price_segments(table).collect()          # cheapest first
+    assert (low.listing_count, low.median_price, low.min_price, low.max_price) == (3, 9_000.0, 5_000.0, 9_500.0)
+    assert (low.avg_mileage, low.avg_vehicle_age, low.pct_of_market) == (30.0, 2.0, 75.0)
+    assert (low.top_makes, low.dominant_body_style) == ("KIA, FORD", "SUV")
+    assert (high.listing_count, high.median_price, high.pct_of_market, high.top_makes) == (1, 70_000.0, 25.0, "AUDI")
+    assert [low.price_segment, high.price_segment] == [fixed.PRICE_LABELS[0], fixed.PRICE_LABELS[4]]
+
+
+def test_dealer_performance(spark):
+    now, told = fixed.CURRENT_YEAR, {"dealer_name": "Joe", "dealer_city": "x", "dealer_state": "y", "dealer_type": "new",
+                                     "dealer_review_count": 3, "dealer_avg_rating": 4.5}
+    rows = [("D1", "kia", 100.0, 120.0, now, "L1", '{"icon":"accident"}'), ("D1", "ford", 300.0, 360.0, now - 1, "L2", None),
+            ("D1", "kia", 200.0, 240.0, now - 4, None, "{}"), ("D1", "kia", 200.0, 240.0, now - 5, "L4", None),
+            (None, "kia", 1.0, 1.0, now, "L5", None)]         # no dealer key
+    table = gold.clean_listings(spark.createDataFrame(
+        [silver_row(dealer_carfax_id=d, make=m, current_price=p, list_price=lp, year=y, listing_id=i, accident_history=a, mileage=1,
+                    **told) for d, m, p, lp, y, i, a in rows], SILVER))
+    got = gold.dealer_performance(table)
     assert len(got.columns) == 20
-    got["avg_vehicle_age"] = got.avg_vehicle_age  # one decimal on both sides
-    same(got.drop(columns="avg_vehicle_age"), want.drop(columns="avg_vehicle_age"), fixed.DEALER_KEYS)
-    assert np.allclose(got.sort_values(fixed.DEALER_KEYS).avg_vehicle_age, want.avg_vehicle_age, atol=0.1001)
+    one = {r.dealer_carfax_id: r for r in got.collect()}["D1"]
+    assert (one.inventory_count, one.avg_price, one.median_price, one.avg_list_price) == (3, 200.0, 200.0, 240.0)
+    assert (one.pct_accident, one.avg_vehicle_age, one.makes_offered) == (25.0, 2.5, "FORD, KIA")
+    assert one.avg_discount_pct == pytest.approx(16.67, abs=0.01)
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
-def test_depreciation_curve(spark, hot_rows):
+def test_depreciation_curve(spark):
     now = fixed.CURRENT_YEAR
     got = gold.depreciation_curve(few(spark, ("x", now, 100.0, 1), ("x", now - 1, 80.0, 1), ("x", now - 1, 60.0, 1),
-                                      ("x", now - 4, 34.0, 1), ("x", now - 26, 9.0, 1)), hot_rows=hot_rows)
+                                      ("x", now - 4, 34.0, 1), ("x", now - 26, 9.0, 1)))
     assert len(got.columns) == 10
     new, one, four = sorted(got.collect(), key=lambda r: r.vehicle_age)   # age 26 is beyond the curve
     assert [(r.vehicle_age, r.listing_count, r.avg_price) for r in (new, one, four)] == [(0, 1, 100.0), (1, 2, 70.0), (4, 1, 34.0)]
@@ -120,13 +110,12 @@ def test_depreciation_curve(spark, hot_rows):
     assert (one.retained_value_pct, new.yoy_depreciation_pct) == (pytest.approx(82.35, abs=0.01), 30.0)
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
-def test_listings_enriched(clean, frame, hot_rows):
-    out = gold.listings_enriched(clean, "2026-02-01 00:00:00", hot_rows=hot_rows)
+def test_listings_enriched(spark, clean):
+    priced = gold.listings_enriched(few(spark, ("x", 2020, 10.0, 1), ("x", 2020, 20.0, 1), ("x", 2020, 60.0, 1), ("y", 2020, 5.0, 1)))
+    assert sorted((r.current_price, r.segment_median_price) for r in priced.collect()) == [(5.0, 5.0), (10.0, 20.0), (20.0, 20.0), (60.0, 20.0)]
+    out = gold.listings_enriched(clean, "2026-02-01 00:00:00")
     assert len(out.columns) == 70 and dict(out.dtypes)["first_seen"] == "timestamp"
     got = out.toPandas()
-    frame = frame.assign(segment_median_price=frame.groupby(["make", "model", "year"]).current_price.transform("median"))
-    same(got, frame[["vin", "current_price", "segment_median_price"]], ["vin"])
     assert set(got.days_on_market.dropna()) == {31}
     noterm = got[~(got.monthly_term_months > 0)]
     assert noterm.monthly_pmt_pct_of_price.isna().all()

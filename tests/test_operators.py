@@ -26,44 +26,71 @@ def skewed(spark, seed=1):
     return spark.createDataFrame(data, "k string, v double"), data
 
 
-@pytest.mark.parametrize("hot_rows", [0, 100, 1000, 10**9])
-def test_exact_quantiles_agree_with_numpy_for_any_split(spark, hot_rows):
+def test_exact_quantiles_agree_with_numpy(spark):
     df, data = skewed(spark)
     fractions = [0.0, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = {r["k"]: r["quantiles"] for r in quantiles.exact_quantiles(df, ["k"], "v", fractions, hot_rows).collect()}
+    got = {r["k"]: r["quantiles"] for r in quantiles.exact_quantiles(df, ["k"], "v", fractions).collect()}
     for key in {k for k, _ in data}:
         want = np.quantile([v for k, v in data if k == key], fractions)
         assert np.allclose(got[key], want, rtol=1e-12, atol=0), key
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.floats(allow_nan=False, allow_infinity=False, width=64, min_value=-1e12, max_value=1e12),
+@given(st.lists(st.one_of(st.floats(allow_nan=False, allow_infinity=False, width=64, min_value=-1e12, max_value=1e12),
+                          st.floats(min_value=-1e-8, max_value=1e-8), st.sampled_from([0.0, -0.0, 5e-324, -5e-324, 1.0, 2.0])),
                 min_size=1, max_size=60))
-def test_ranked_quantiles_property(spark, numbers):
+def test_quantiles_property(spark, numbers):
     df = spark.createDataFrame([(1, v) for v in numbers], "k int, v double")
-    got = quantiles.ranked_quantiles(df, ["k"], "v", [0.0, 0.5, 1.0]).first()["quantiles"]
+    got = quantiles.exact_quantiles(df, ["k"], "v", [0.0, 0.5, 1.0]).first()["quantiles"]
     assert got[0] == min(numbers) and got[2] == max(numbers)
-    assert np.isclose(got[1], np.median(numbers), rtol=1e-12, atol=1e-12)
+    assert np.isclose(got[1], np.median(numbers), rtol=1e-12, atol=0)
+
+
+def test_buckets_rise_with_the_value_and_part_small_ones(spark):
+    inf = float("inf")
+    rng = np.random.default_rng(4)
+    values = sorted([-inf, inf, 0.0, 5e-324, -5e-324, 1.0, -1.0, 1e308, -1e308] + list(rng.standard_normal(500) * 10.0 ** rng.integers(-300, 300, 500)))
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "i int, v double")
+    found = [r.b for r in df.select("i", quantiles.magnitude_bucket(F.col("v")).alias("b")).orderBy("i").collect()]
+    assert found == sorted(found) and len(set(found)) > 500
+    tiny = spark.range(1, 100_001).select((F.col("id") * 1e-13).alias("v")).select(quantiles.magnitude_bucket(F.col("v")).alias("b"))
+    assert tiny.groupBy("b").count().agg(F.max("count")).first()[0] < 10
 
 
 def test_quantiles_skip_null_and_nan(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", float("nan")), ("a", 3.0), ("b", None)],
                                "k string, v double")
-    for hot in (0, 100):
-        assert rows(quantiles.exact_quantiles(df, ["k"], "v", [0.5], hot)) == [("a", [2.0])]
+    assert rows(quantiles.exact_quantiles(df, ["k"], "v", [0.5])) == [("a", [2.0])]
+    assert quantiles.exact_quantiles(df.limit(0), ["k"], "v", [0.5]).count() == 0
 
 
-def test_grouped_stats_same_with_and_without_hot_groups(spark):
-    df, _ = skewed(spark, seed=2)
+def test_grouped_stats(spark):
+    df, data = skewed(spark, seed=2)
     df = df.withColumn("w", F.abs("v")).unionByName(
-        spark.createDataFrame([(None, 1.0, 1.0)], "k string, v double, w double"))
-    aggregates = [F.count("v").alias("n"), F.max("v").alias("top")]
-    medians = {"mid_v": "v", "mid_w": "w"}
-    plain = quantiles.grouped_stats(df, ["k"], aggregates, medians)
-    split = quantiles.grouped_stats(df, ["k"], aggregates, medians, hot_rows=500)
-    assert quantiles.staged_hot_keys(df.dropna(), ["k"], 500) is not None
-    assert plain.columns == split.columns
-    assert rows(plain) == rows(split) and plain.count() == 5  # null key dropped
+        spark.createDataFrame([(None, 1.0, 1.0), ("none", None, None)], "k string, v double, w double"))
+    got = quantiles.grouped_stats(df, ["k"], [F.count("v").alias("n"), F.max("v").alias("top")], {"mid_v": "v", "mid_w": "w"})
+    assert got.columns == ["k", "n", "top", "mid_v", "mid_w"]
+    found = {r.k: r for r in got.collect()}
+    assert len(found) == 6 and (found["none"].n, found["none"].mid_v) == (0, None)      # null key dropped
+    for key in {k for k, _ in data}:
+        values = np.array([v for k, v in data if k == key])
+        assert found[key].n == len(values) and np.isclose(found[key].mid_v, np.median(values), rtol=1e-12)
+        assert np.isclose(found[key].mid_w, np.median(np.abs(values)), rtol=1e-12)
+
+
+def test_grouped_stats_reads_its_table_twice_and_runs_nothing_before(spark, folder):
+    df, _ = skewed(spark)
+    df.withColumn("w", F.abs("v")).withColumn("wide", F.lit("x")).write.parquet(f"{folder}/t")
+    table = spark.read.parquet(f"{folder}/t")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("stats", "")
+    got = quantiles.grouped_stats(table, ["k"], [F.count("v").alias("n")], {"mid_v": "v", "mid_w": "w"})
+    assert list(tracker.getJobIdsForGroup("stats")) == []
+    assert len(got.collect()) == 5
+    final = got._jdf.queryExecution().executedPlan().toString()
+    final = final[:final.index("== Initial Plan ==")]
+    assert final.count("FileScan parquet") == 2 and "wide" not in final
+    assert "ReusedExchange" in final or final.count("Exchange hashpartitioning") <= 8
 
 
 # --- keys --------------------------------------------------------------------
