@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt import fixed_values as fixed
-from forecourt.session import tune
+from forecourt.session import stage, tune
 
 AS_OF_YEAR = 2001
 AS_OF = "2001-06-01 00:00:00"
@@ -140,6 +140,15 @@ def listings(spark: SparkSession, sf_dir: str, dealer: bool = False,
     return _VIEWS[at]
 
 
+def store_listings(spark: SparkSession, sf_dir: str) -> None:
+    """Write the listings once, in a file a core, and let :func:`listings` read them from there."""
+    whole = listings(spark, sf_dir, dealer=True)
+    stored = stage(whole.repartition(spark.sparkContext.defaultParallelism), "listings")
+    for dealer in (False, True):
+        plain = listings(spark, sf_dir, dealer)
+        _VIEWS[(spark.sparkContext.applicationId, id(spark), sf_dir, dealer, False)] = stored.select(*plain.columns)
+
+
 def _listings(spark: SparkSession, sf_dir: str, dealer: bool, handles: bool) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"), "left")

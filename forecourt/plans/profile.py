@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from forecourt import fixed_values as fixed
 from forecourt.functions import half_even, is_filled, json_preview
-from forecourt.operators.frequency import stack_columns, top_values, value_frequencies
+from forecourt.operators.frequency import stack_columns, top_values, union_all, value_frequencies
 from forecourt.operators.quantiles import exact_quantiles
 from forecourt.operators.shape import numeric_columns, string_columns
+from forecourt.operators.textvalues import chosen_values, text_counts
+from forecourt.session import stage
 from forecourt.sources.readers import line_scan
 
 
@@ -28,17 +30,24 @@ def percent_of(part: Column, whole: Column) -> Column:
     return F.coalesce(half_even(share, 2), F.lit(0.0))
 
 
+COLUMNS_AT_ONCE = 16   # more aggregates than a generated method holds would run interpreted
+
+
 def per_column(df: DataFrame, columns: Sequence[str], measures) -> DataFrame:
-    """One row per column from one aggregation over the whole table.
-    ``measures(c)`` maps names to aggregates of column ``c``."""
+    """One row per column from aggregations over the whole table, some columns at a time:
+    each reads its own columns only.  ``measures(c)`` maps names to aggregates of column ``c``."""
     names = list(measures(columns[0]))
-    wide = df.agg(F.count("*").alias("_rows"), *[
-        expression.alias(f"{i}.{name}")
-        for i, c in enumerate(columns) for name, expression in measures(c).items()])
-    entries = [F.struct(F.lit(c).alias("column"), F.col("_rows"),
-                        *[F.col(f"`{i}.{name}`").alias(name) for name in names])
-               for i, c in enumerate(columns)]
-    return wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    parts = []
+    for at in range(0, len(columns), COLUMNS_AT_ONCE):
+        some = columns[at:at + COLUMNS_AT_ONCE]
+        wide = df.agg(F.count("*").alias("_rows"), *[
+            expression.alias(f"{i}.{name}")
+            for i, c in enumerate(some) for name, expression in measures(c).items()])
+        entries = [F.struct(F.lit(c).alias("column"), F.col("_rows"),
+                            *[F.col(f"`{i}.{name}`").alias(name) for name in names])
+                   for i, c in enumerate(some)]
+        parts.append(wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*"))
+    return union_all(parts)
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -60,24 +69,28 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         missing.alias("null_count"), percent_of(missing, F.col("_rows")).alias("null_pct"))
 
 
-def string_profile(df: DataFrame, columns: Sequence[str] | None = None, k: int = 10) -> DataFrame:
+def string_profile(df: DataFrame, columns: Sequence[str] | None = None, k: int = 10,
+                   counts: DataFrame | None = None) -> DataFrame:
     """Non-null, filled, null and distinct counts per text column, with its top
-    ``k`` values as an array of (value, n)."""
+    ``k`` values as an array of (value, n).  ``counts`` may hand over the columns'
+    ``text_counts``, which are else written first."""
     chosen = list(columns or string_columns(df))
-    stats = per_column(df, chosen, lambda c: {
-        "non_null_count": F.count(c), "non_empty_count": F.count_if(is_filled(c))})
-    values = value_frequencies(df, chosen, keep=is_filled("value"))
-    # uses n, so that both branches read the same counted values (one shuffle)
-    distinct = values.groupBy("column").agg(F.count_if(F.col("n") > 0).alias("unique_count"))
+    if counts is None:
+        counts = stage(text_counts(df, chosen), "text-counts")
+    filled = counts.where("filled")
+    totals = counts.groupBy("column").agg(
+        F.sum("n").alias("non_null_count"), F.sum(F.when(F.col("filled"), F.col("n"))).alias("non_empty_count"),
+        F.count_if(F.col("filled")).alias("unique_count"))
     listed = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("r"), "value")))
-    best = top_values(values, k).groupBy("column").agg(
+    best = chosen_values(filled, df, k, by_count=True).groupBy("column").agg(
         F.transform(listed, lambda x: F.struct(x["value"].alias("value"), (-x["r"]).alias("n")))
         .alias("top_values"))
-    missing = F.col("_rows") - F.col("non_null_count")
-    return (stats.join(distinct, "column", "left").join(best, "column", "left")
-            .select("column", "non_null_count", "non_empty_count", missing.alias("null_count"),
-                    percent_of(missing, F.col("_rows")).alias("null_pct"),
-                    F.coalesce("unique_count", F.lit(0)).cast("bigint").alias("unique_count"),
+    asked = df.agg(F.count("*").alias("_rows")).select("_rows", F.explode(F.array(*[F.lit(c) for c in chosen])).alias("column"))
+    non_null, non_empty, unique = (F.coalesce(c, F.lit(0)).cast("bigint") for c in ("non_null_count", "non_empty_count", "unique_count"))
+    missing = F.col("_rows") - non_null
+    return (asked.join(totals, "column", "left").join(best, "column", "left")
+            .select("column", non_null.alias("non_null_count"), non_empty.alias("non_empty_count"), missing.alias("null_count"),
+                    percent_of(missing, F.col("_rows")).alias("null_pct"), unique.alias("unique_count"),
                     F.coalesce("top_values", F.array().cast("array<struct<value:string,n:bigint>>"))
                     .alias("top_values")))
 

@@ -93,6 +93,61 @@ def test_grouped_stats_reads_its_table_twice_and_runs_nothing_before(spark, fold
     assert "ReusedExchange" in final or final.count("Exchange hashpartitioning") <= 8
 
 
+# --- text values -------------------------------------------------------------
+
+def odd_values(spark):
+    """Ties, blanks, nulls, long values of one beginning, a value that holds a third of the rows."""
+    rng = np.random.default_rng(6)
+    long = ["x" * 24 + str(i) for i in range(40)] + ["x" * 24, "é" * 30 + "a", "é" * 30 + "b"]
+    data = [(str(rng.choice(long)), str(rng.choice(["", " ", "a", "b", "hot", "hot", "hot"])), f"v{i}", None) for i in range(600)]
+    data += [(None, None, None, None)] * 30
+    return spark.createDataFrame(data, "long string, few string, unique string, none string").repartition(5), data
+
+
+def test_text_counts_choose_what_plain_counting_does(spark):
+    from collections import Counter
+
+    from forecourt.operators import textvalues
+
+    df, data = odd_values(spark)
+    columns = df.columns
+    counts = textvalues.text_counts(df, columns).cache()
+    plain = {c: Counter(row[i] for row in data if row[i] is not None) for i, c in enumerate(columns)}
+    assert {r[0]: r[1] for r in counts.groupBy("column").count().collect()} == {c: len(n) for c, n in plain.items() if n}
+    for k in (1, 3, 10, 100):
+        for by_count in (True, False):
+            got = textvalues.chosen_values(counts, df, k, by_count).collect()
+            for c in columns:
+                order = sorted(plain[c].items(), key=(lambda v: (-v[1], v[0])) if by_count else (lambda v: v[0]))[:k]
+                assert sorted((r.value, r.n) for r in got if r["column"] == c) == sorted(order), (c, k, by_count)
+
+
+def test_text_counts_shuffle_no_whole_texts(spark, folder):
+    from forecourt.operators import textvalues
+
+    df, _ = odd_values(spark)
+    df.write.parquet(f"{folder}/t")
+    counts = textvalues.text_counts(spark.read.parquet(f"{folder}/t"), df.columns)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    grouped = [line for line in plan.splitlines() if "HashAggregate(keys" in line]
+    assert grouped and all("value#" not in line.split("keys=")[1].split("]")[0] for line in grouped)
+
+
+def test_sketches_count_about_right_and_merge(spark):
+    from forecourt.operators import textvalues
+    from forecourt.plans import quality
+
+    a = spark.range(20_000).select(F.concat(F.lit("v"), F.col("id").cast("string")).alias("t"), F.lit(" ").alias("blank"))
+    b = a.union(spark.range(15_000, 30_000).select(F.concat(F.lit("v"), F.col("id").cast("string")), F.lit(None)))
+    both = textvalues.text_sketches(a, ["t", "blank"]).unionAll(textvalues.text_sketches(b, ["t", "blank"]))
+    got = {r["column"]: r["n"] for r in textvalues.merged_sketches(both).select("column", textvalues.sketched_count().alias("n")).collect()}
+    assert abs(got["t"] - 30_000) < 1500 and got["blank"] == 0
+    near = {r["column"]: r for r in quality.text_samples(b, ["t", "blank"], approximate=True).collect()}
+    assert abs(near["t"].unique_count - 30_000) < 1500 and 0 < len(near["t"].sample_values) <= 5
+    assert (near["blank"].unique_count, near["blank"].sample_values) == (0, [])
+    assert quality.text_samples(b.limit(0), ["t"], approximate=True).first().unique_count == 0
+
+
 # --- keys --------------------------------------------------------------------
 
 def test_first_per_key(spark):
