@@ -14,6 +14,7 @@ from forecourt.operators import frequency, keys, routing, shape
 from forecourt.plans import coverage, jobs, profile, quality, silver
 from forecourt.session import fresh_path, path_exists
 from forecourt.sources import manifest, readers, writers
+from forecourt.sources.listing import file_listing
 from forecourt.sources.state import rename
 from forecourt.streaming.incremental import incremental_silver_stream
 
@@ -565,6 +566,35 @@ def dataset_manifest(spark, sf_dir):
                      F.bit_xor("checksum").alias("checksum"))
 
 
+_EVENT_SUM = f"""bit_xor(('0x' || substr(md5({EVENT_LINE}), 1, 15))::BIGINT)"""
+
+
+@query("manifest_files", f"""SELECT event_type AS folder, count(*) AS row_count, sum(strlen({EVENT_LINE}) + 1)::BIGINT AS size_bytes,
+  {_EVENT_SUM} AS checksum, sum(strlen({EVENT_LINE}) + 1) >= {EVENT_LIMIT} AS is_complete FROM events GROUP BY 1
+UNION ALL SELECT 'nothing', 0, 0, 0, false""")
+def manifest_files(spark, sf_dir):
+    """Every file of a folder a kind of event, and a file without lines."""
+    path = fresh_path(spark, "event-files")
+    line = F.expr(EVENT_LINE.replace("|| event_id ||", "|| cast(event_id as string) ||")
+                  .replace("|| user_id ||", "|| cast(user_id as string) ||"))
+    lines = table(spark, sf_dir, "events").select(line.alias("value"), F.col("event_type").alias("kind"))
+    lines.repartition("kind").write.partitionBy("kind").text(path)
+    _put(spark, f"{path}/kind=nothing/empty.txt", b"")
+    files = manifest.dataset_manifest(spark, path, EVENT_LIMIT)
+    return files.select(F.regexp_extract("filepath", "kind=([^/]+)", 1).alias("folder"), "row_count", "size_bytes", "checksum", "is_complete")
+
+
+@query("compacted_files", "SELECT count(*) AS rows, sum(l_orderkey)::BIGINT AS keys, true AS few, true AS sized FROM lineitem")
+def compacted_files(spark, sf_dir):
+    """Many small files packed into files of a target size, in the place of the table."""
+    path = fresh_path(spark, "small-files")
+    table(spark, sf_dir, "lineitem").repartition(24).write.parquet(path)
+    target = writers.listed_bytes(spark, path) // 4
+    writers.compact_files(spark, [path], path, target)
+    sizes = file_listing(spark, path, "*.parquet").agg((F.count("*") <= 8).alias("few"), (F.max("length") <= 1.5 * target).alias("sized"))
+    return spark.read.parquet(path).agg(F.count("*").alias("rows"), F.sum("l_orderkey").alias("keys")).join(sizes)
+
+
 @query("incremental_silver_stream", silver_sql("SELECT vin, year, _source_system FROM stored", DEDUP_CTE))
 def incremental_silver_stream_(spark, sf_dir):
     """Feed files as a stream of small batches, then once more: same table."""
@@ -894,6 +924,19 @@ def raw_file_inventory(spark, sf_dir):
         F.sum("total_records").alias("total_records"))
 
 
+@query("raw_file_inventory_sampled", """
+SELECT count(*) AS total_records, sum(100)::BIGINT AS bytes, true AS beginnings_only FROM orders""")
+def raw_file_inventory_sampled(spark, sf_dir):
+    """The first 10,000 bytes of each file tell how many records of equal length it has."""
+    path = fresh_path(spark, "equal-lines")
+    line = F.rpad(F.concat(F.lit('{"id":'), F.col("o_orderkey").cast("string"), F.lit("}")), 99, " ")
+    table(spark, sf_dir, "orders").select(line.alias("value")).write.text(path)
+    files = profile.raw_file_inventory(spark, path, glob=FEED_GLOB, sample_bytes=10_000)
+    sizes = file_listing(spark, path, FEED_GLOB).agg(F.sum("length").alias("bytes"))
+    return files.agg(F.sum("total_records").alias("total_records"),
+                     F.bool_and(F.col("sampled_records") <= 100).alias("beginnings_only")).join(sizes)
+
+
 _ODD_LINE = """CASE WHEN event_id % 11 = 0 THEN '{"id":' ELSE '{"id":' || {id} || ',"props":' || props ||
   ',"name":"' || event_type || '","flag":' || CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'null' END ||
   CASE WHEN event_id % 3 = 0 THEN ',"tags":["a","b"]' WHEN event_id % 3 = 1 THEN ',"tags":[]' ELSE ',"score":1.5' END || '}' END"""

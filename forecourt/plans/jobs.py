@@ -17,6 +17,7 @@ from forecourt.operators.shape import SILVER
 from forecourt.plans import gold
 from forecourt.plans.silver import silver_rows
 from forecourt.session import drop_path, fresh_path, path_exists, stage
+from forecourt.sources.keyindex import KeyIndex
 from forecourt.sources.listing import file_listing, literal, scanned_path, unreadable_files
 from forecourt.sources.readers import CORRUPT, RAW_GLOB, RAW_TEXT, file_log, file_position, jsonl_scan
 from forecourt.sources.state import announce_run, dead_runs, live_root, next_version, publish, utc_text, version_root
@@ -54,6 +55,9 @@ class SilverLake:
     def file_log(self) -> str:
         return f"{self.root}/{fixed.META_DIR}/file_log"
 
+    def key_index(self, spark: SparkSession) -> KeyIndex:
+        return KeyIndex(spark, self.listings, f"{self.root}/{fixed.META_DIR}/key_index")
+
     def live(self, spark: SparkSession) -> SilverLake:
         return SilverLake(live_root(spark, self.root))
 
@@ -118,7 +122,7 @@ def pending_files(spark: SparkSession, raw_path: str, log: DataFrame, glob: str
 
 
 def new_silver(staged: DataFrame, stored: DataFrame) -> DataFrame:
-    """Valid staged rows, one per key (first in file order), not stored yet.
+    """Valid staged rows, one per key (first in file order), whose key is not among ``stored``.
 
     Decided on keys and positions alone; the wide rows are then fetched by their
     row number.  The decision is written first: a small one is broadcast and no
@@ -231,7 +235,7 @@ def run_silver(spark: SparkSession, raw_path: str, silver_root: str, full_refres
     announce_run(spark, lake.root, run_id)
     staging = fresh_path(spark, "staged-silver")
     staged, broken = stage_readable(spark, pending, glob, staging, run_id, run_ts, source_file, source_system)
-    stored = lake.read(spark).where(F.col("_pipeline_run_id") != run_id)
+    stored = lake.key_index(spark).known(staged.where(F.col(fixed.REJECTION_COLUMN) == ""), run_id)
     write_silver(new_silver(staged, stored), lake.listings, run_id)
     drop_dead_rejects(spark, lake.root, log)
     write_quarantine(split_rejected(staged)[1].select(

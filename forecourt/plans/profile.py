@@ -14,7 +14,8 @@ from forecourt.operators.quantiles import exact_quantiles
 from forecourt.operators.shape import numeric_columns, string_columns
 from forecourt.operators.textvalues import chosen_values, text_counts
 from forecourt.session import stage
-from forecourt.sources.readers import line_scan
+from forecourt.sources.listing import file_listing, scanned_path
+from forecourt.sources.readers import line_prefixes, line_scan
 
 
 
@@ -118,25 +119,37 @@ def silver_profile(silver: DataFrame) -> dict[str, DataFrame]:
 
 # --- raw lines ---------------------------------------------------------------
 
+SAMPLE_BYTES = 2 * 1024 * 1024
+
+
 def raw_file_inventory(spark: SparkSession, path: str, sample_fraction: float | None = None,
-                       glob: str = "*.json*") -> DataFrame:
-    """Per file: size, records read and total records.
+                       glob: str = "*.json*", sample_bytes: int | None = None, sample: DataFrame | None = None) -> DataFrame:
+    """Per file, those without a line included: size, records read and total records.
 
-    Counts are exact by default; with ``sample_fraction`` the total is the file
-    size over the average length of the sampled lines.
+    Counts are exact by default.  With ``sample_bytes`` only that much of the beginning of each
+    file is read, and the total is the file size over the sampled bytes per record
+    (0 where no record ends in the sample); ``sample`` may hand over these lines.
+    With ``sample_fraction`` all is read and that share of the lines counted.
     """
-    lines = line_scan(spark, path, glob).select(
-        "value", F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_size").alias("size_bytes")).where(is_filled("value"))
+    listed = file_listing(spark, path, glob).select("path", F.col("length").alias("size_bytes"))
+    if sample_bytes is not None:
+        lines = line_prefixes(spark, path, sample_bytes, glob) if sample is None else sample
+    else:
+        lines = line_scan(spark, path, glob).select("value", scanned_path().alias("path"))
+    lines = lines.where(is_filled("value"))
     if sample_fraction is not None:
         lines = lines.sample(sample_fraction, seed=0)
-    files = lines.groupBy("file", "size_bytes").agg(
-        F.count("*").alias("records"), F.avg(F.octet_length("value") + 1).alias("_line"))
-    estimate = (F.col("records") if sample_fraction is None
-                else F.floor(F.col("size_bytes") / F.col("_line")))
-    return files.select("file", half_even(F.col("size_bytes") / F.lit(1048576), 2).alias("size_mb"),
-                        F.col("records").alias("sampled_records"),
-                        estimate.cast("bigint").alias("total_records"))
+    seen = lines.groupBy("path").agg(F.count("*").alias("_seen"), F.avg(F.octet_length("value") + 1).alias("_line"))
+    files = listed.join(seen, "path", "left").withColumn("records", F.coalesce("_seen", F.lit(0)).cast("bigint"))
+    if sample_bytes is not None:
+        per_record = F.least(F.col("size_bytes"), F.lit(sample_bytes)) / F.col("_seen")
+        total = F.coalesce(F.floor(F.col("size_bytes") / per_record), F.lit(0))
+    elif sample_fraction is not None:
+        total = F.coalesce(F.floor(F.col("size_bytes") / F.col("_line")), F.lit(0))
+    else:
+        total = F.col("records")
+    return files.select(F.col("path").alias("file"), half_even(F.col("size_bytes") / F.lit(1048576), 2).alias("size_mb"),
+                        F.col("records").alias("sampled_records"), total.cast("bigint").alias("total_records"))
 
 
 def inventory_totals(files: DataFrame) -> DataFrame:
@@ -187,11 +200,10 @@ def raw_key_inventory(lines: DataFrame, column: str = "value") -> DataFrame:
         F.min("sample").alias("sample")).orderBy(F.desc("seen"), "key")
 
 
-def raw_profile(spark: SparkSession, path: str, sample_fraction: float | None = None
-                ) -> dict[str, DataFrame]:
-    """All sections of a raw layer profile."""
-    files = raw_file_inventory(spark, path, sample_fraction)
-    lines = line_scan(spark, path)
+def raw_profile(spark: SparkSession, path: str, sample_fraction: float | None = None,
+                glob: str = "*.json*", sample_bytes: int | None = None) -> dict[str, DataFrame]:
+    """All sections of a raw layer profile.  ``sample_bytes`` (the layer's custom is
+    ``SAMPLE_BYTES``) reads the beginning of each file only, once for all sections."""
+    lines = line_scan(spark, path, glob) if sample_bytes is None else line_prefixes(spark, path, sample_bytes, glob)
+    files = raw_file_inventory(spark, path, sample_fraction, glob, sample_bytes, lines)
     return {"files": files, "totals": inventory_totals(files), "keys": raw_key_inventory(lines)}
-
-

@@ -59,21 +59,21 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
-_FRESH: list[str] = []
+_FRESH: dict[str, list[str]] = {}   # by application
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder; :func:`release` deletes it."""
     path = f"{shared_folder(spark)}/forecourt/{label}-{uuid.uuid4().hex}"
-    _FRESH.append(path)
+    _FRESH.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 
 
 def release(spark: SparkSession) -> None:
-    """Delete every path of :func:`fresh_path` that is still there.  To be called when
+    """Delete this application's paths of :func:`fresh_path` that are still there.  To be called when
     no table that was built on them is needed any more: results are lazy."""
-    while _FRESH:
-        drop_path(spark, _FRESH.pop())
+    for path in _FRESH.pop(spark.sparkContext.applicationId, []):
+        drop_path(spark, path)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

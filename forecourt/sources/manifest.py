@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from forecourt import fixed_values as fixed
 from forecourt.functions import half_even
+from forecourt.sources.listing import file_listing, scanned_path
 from forecourt.sources.readers import line_scan
 
 
@@ -19,16 +20,17 @@ def line_checksum(line: Column | str = "value") -> Column:
 
 def dataset_manifest(spark: SparkSession, path: str, limit_bytes: int = fixed.PART_BYTES,
                      glob: str = "*") -> DataFrame:
-    """Per file: part number, name, size, rows, checksum, and whether it is full."""
-    files = line_scan(spark, path, glob).groupBy(
-        F.col("_metadata.file_path").alias("filepath"),
-        F.col("_metadata.file_name").alias("filename"),
-        F.col("_metadata.file_size").alias("size_bytes"),
-        F.col("_metadata.file_modification_time").alias("created_at"),
-    ).agg(F.count("*").alias("row_count"), line_checksum().alias("checksum"))
+    """Per file, those without a line included: part number, name, size, rows, checksum, and
+    whether it is full.  ``created_at`` is null for files of no bytes."""
+    listed = file_listing(spark, path, glob).select(
+        F.col("path").alias("filepath"), F.element_at(F.split("path", "/"), -1).alias("filename"),
+        F.col("length").alias("size_bytes"), F.col("modified").alias("created_at"))
+    lines = line_scan(spark, path, glob).select(scanned_path().alias("filepath"), "value")
+    counted = lines.groupBy("filepath").agg(F.count("*").alias("row_count"), line_checksum().alias("checksum"))
+    files = listed.join(counted, "filepath", "left")
     part = F.regexp_extract("filepath", r"part[=_-](\d+)", 1).try_cast("int")
-    return files.select(part.alias("part_number"), "filename", "filepath", "size_bytes",
-                        "row_count", "checksum", "created_at",
+    rows, checksum = (F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("row_count", "checksum"))
+    return files.select(part.alias("part_number"), "filename", "filepath", "size_bytes", rows, checksum, "created_at",
                         (F.col("size_bytes") >= limit_bytes).alias("is_complete"))
 
 

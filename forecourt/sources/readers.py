@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forecourt import fixed_values as fixed
 from forecourt.functions import strip
-from forecourt.session import path_exists
+from forecourt.session import fresh_path, path_exists
+from forecourt.sources.listing import file_listing, literal, scanned_path
 from forecourt.sources.state import STARTED_DIR, live_root, unfinished_runs
 
 CORRUPT = "_corrupt"
@@ -54,6 +56,65 @@ def line_scan(spark: SparkSession, paths: str | Sequence[str], glob: str = RAW_G
     return reader.text(paths if isinstance(paths, str) else list(paths))
 
 
+def _opens(scheme: str, authority: str) -> bool:
+    """Whether tasks can open files of this store themselves."""
+    from pyarrow import fs
+
+    if scheme == "file":
+        return True
+    try:
+        fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    except Exception:   # unknown store, or no library for it
+        return False
+    return True
+
+
+def line_prefixes(spark: SparkSession, root: str, prefix_bytes: int, glob: str = RAW_GLOB) -> DataFrame:
+    """``path, value``: the whole lines within the first ``prefix_bytes`` of every file below
+    ``root``, written before it returns.
+
+    Tasks share out the listing and read that many bytes of each file, whatever its size
+    (of a compressed file that many unpacked ones).  The last line of a file that
+    ends in the prefix counts as whole.  Of a store that only Spark can open all lines are read
+    and those within the prefix kept.
+    """
+    listed = file_listing(spark, root, glob)
+    first = listed.select("path").first()
+    found = re.match("([A-Za-z][A-Za-z0-9+.-]*):(?://([^/]*))?", first.path) if first else None
+    scheme, authority = (found[1], found[2] or "") if found else ("file", "")
+
+    def opened(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, base = (fs.LocalFileSystem(), "") if scheme == "file" else fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                plain = base.rstrip("/") + path.split(":", 1)[1].removeprefix(f"//{authority}")
+                with store.open_input_stream(plain, compression="detect", buffer_size=0) as file:
+                    data = file.read(prefix_bytes + 1)
+                lines = data[:prefix_bytes].split(b"\n")
+                if len(data) > prefix_bytes or not lines[-1]:   # cut off, or the end behind the last line break
+                    lines.pop()
+                values = [line.decode("utf-8", "replace") for line in lines]
+                yield pa.RecordBatch.from_pydict({"path": pa.array([path] * len(values), pa.string()),
+                                                  "value": pa.array(values, pa.string())})
+
+    if _opens(scheme, authority):
+        lines = listed.where("length > 0").select("path").mapInArrow(opened, "path string, value string")
+    else:
+        at = Window.partitionBy("path").orderBy("_block", "_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        scan = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(literal(root), lineSep="\n")
+        rows = scan.select(scanned_path().alias("path"), "value", F.col("_metadata.file_size").alias("_size"),
+                           F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"))
+        rows = rows.where(F.col("_block") < prefix_bytes).withColumn("_end", F.sum(F.octet_length("value") + 1).over(at))
+        whole = F.when(F.col("_size") > prefix_bytes, F.lit(prefix_bytes)).otherwise(F.col("_size") + 1)
+        lines = rows.where(F.col("_end") <= whole).select("path", "value")
+    path = fresh_path(spark, "line-prefixes")
+    lines.write.parquet(path)
+    return spark.read.schema("path string, value string").parquet(path)
+
+
 def text_list_scan(spark: SparkSession, path: str, column: str = "value") -> DataFrame:
     """One value per line, stripped, blank lines dropped."""
     return (spark.read.text(path).select(strip("value").alias(column))

@@ -34,6 +34,11 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    where, fs = _folder(spark, path)
+    fs.mkdirs(where)
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     where, fs = _folder(spark, source)
     if not fs.rename(where, _folder(spark, target)[0]):

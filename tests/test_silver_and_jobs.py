@@ -268,6 +268,46 @@ def test_rejects_of_a_run_under_way_are_neither_shown_nor_deleted(spark, folder)
     assert sorted(r[0] for r in stored) == ["busy", "by-hand", "mine"]
 
 
+def test_a_batch_reads_the_index_buckets_of_its_keys_only(spark, folder):
+    from forecourt.sources.keyindex import KeyIndex, bucket_of
+
+    root = f"{folder}/silver"
+    for i, run_id in enumerate("ab"):
+        writers.write_silver(spark.range(i * 1000, i * 1000 + 1000).select(F.col("id").cast("string").alias("vin"), F.lit("r").alias("_pipeline_run_id")),
+                             f"{root}/listings", run_id)
+    index = KeyIndex(spark, f"{root}/listings", f"{root}/index")
+    batch = spark.createDataFrame([("5",), ("1500",), ("new",), (None,)], "vin string")
+    known = index.known(batch)
+    buckets = {r.b for r in batch.where("vin is not null").select(bucket_of(F.col("vin")).alias("b")).collect()}
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "/listings" not in plan and "bucket" in plan.split("PartitionFilters: ")[1].split("]")[0]
+    found = {r.vin for r in known.collect()}
+    assert {"5", "1500"} <= found and "new" not in found and len(found) < 60       # 3 of 512 buckets
+    files = known.select("vin", F.input_file_name().alias("f")).select("f").distinct().collect()
+    assert {int(r.f.split("bucket=")[1].split("/")[0]) for r in files} <= buckets
+    assert {r.vin for r in index.known(batch, "b").select("vin").collect()} & {"5", "1500"} == {"5"}   # run b is written again
+    assert sorted(r for runs in index.covered().values() for r in runs) == ["a", "b"]
+
+
+def test_the_key_index_catches_up_and_is_merged(spark, folder, monkeypatch):
+    from forecourt.sources import keyindex
+
+    monkeypatch.setattr(keyindex, "MAX_FOLDERS", 2)
+    root = f"{folder}/t"
+    index = keyindex.KeyIndex(spark, root, f"{folder}/index", buckets=8)
+    everything = spark.range(100).select(F.col("id").cast("string").alias("vin"))
+    assert index.known(everything).count() == 0                       # no table yet
+    for n in range(5):
+        writers.write_silver(spark.createDataFrame([(str(n), "r"), (None, "r")], "vin string, _pipeline_run_id string"), root, f"run{n}")
+        assert sorted(r.vin for r in index.known(everything).collect()) == [str(i) for i in range(n + 1)]
+        assert len(index.covered()) <= 3
+    assert len(os.listdir(f"{folder}/index")) == len(index.covered()) + 1
+    assert sorted(r.vin for r in index.known(everything, "run1").collect()) == ["0", "2", "3", "4"]   # merged: read from the table
+    drop = list(index.covered())[0]
+    index._drop(drop)                                                 # lost: made again from the table
+    assert sorted(r.vin for r in index.known(everything).collect()) == list("01234")
+
+
 def test_unreadable_stored_files_are_left_out_and_counted(spark, folder):
     root = f"{folder}/silver"
     writers.write_silver(silver_table(spark, 120), f"{root}/listings", "r")
@@ -371,6 +411,41 @@ def test_merged_scan_and_compact(spark, folder):
     assert writers.compact(merged, f"{folder}/one") == 3
 
 
+def test_parts_are_named_and_numbered(spark, folder):
+    rows = spark.range(500).select("id", F.when(F.col("id") % 2 == 0, F.lit("x")).alias("even"), F.rand().alias("r"))
+    writers.write_sized_jsonl(rows, f"{folder}/p", limit_bytes=4000, base="listings")
+    names = sorted(n for n in os.listdir(f"{folder}/p") if not n.startswith((".", "_")))
+    assert names == [f"listings_part_{i:03d}.jsonl" for i in range(1, len(names) + 1)] and len(names) > 5
+    records = [json.loads(line) for n in names for line in open(f"{folder}/p/{n}")]
+    assert sorted(r["id"] for r in records) == list(range(500)) and all(("even" in r) == (r["id"] % 2 == 0) for r in records)
+    assert all(os.path.getsize(f"{folder}/p/{n}") <= 4000 for n in names)
+
+
+def test_manifest_lists_files_without_lines(spark, folder):
+    write_feed(folder, "a_part_001.jsonl", ["x", "y", ""])
+    open(f"{folder}/a_part_002.jsonl", "w").close()
+    write_feed(folder, "odd name [3].jsonl", ["z"])
+    files = {r.filename: r for r in manifest.dataset_manifest(spark, folder, 5).collect()}
+    assert {n: (r.part_number, r.row_count, r.size_bytes, r.is_complete) for n, r in files.items()} == {
+        "a_part_001.jsonl": (1, 3, 5, True), "a_part_002.jsonl": (2, 0, 0, False), "odd name [3].jsonl": (None, 1, 2, False)}
+    assert files["a_part_002.jsonl"].checksum == 0
+    assert manifest.manifest_summary(manifest.dataset_manifest(spark, folder, 5)).first()[:2] == (3, 4)
+
+
+def test_compaction_packs_files_by_size(spark, folder):
+    rows = spark.range(60_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("t"))
+    rows.repartition(40).write.parquet(f"{folder}/t")
+    rows.limit(10).withColumn("more", F.lit(1)).write.parquet(f"{folder}/u")
+    total = sum(os.path.getsize(f"{folder}/t/{n}") for n in os.listdir(f"{folder}/t") if n.endswith(".parquet"))
+    assert writers.compact_files(spark, [f"{folder}/t", f"{folder}/u"], f"{folder}/t", total // 3) == 60_010     # in its own place
+    names = [n for n in os.listdir(f"{folder}/t") if n.endswith(".parquet")]
+    assert 3 <= len(names) <= 6 and all(os.path.getsize(f"{folder}/t/{n}") < 1.4 * total / 3 for n in names)
+    assert spark.read.parquet(f"{folder}/t").agg(F.sum("id"), F.count("more")).first()[:] == (60_000 * 59_999 // 2 + 45, 10)
+    joined = rows.join(spark.range(30_000), "id")                                    # no plain scan: measured
+    assert writers.compact(joined, f"{folder}/j", target_bytes=total) == 30_000
+    assert len([n for n in os.listdir(f"{folder}/j") if n.endswith(".parquet")]) == 1
+
+
 def test_text_list_and_coverage(spark, folder):
     with open(f"{folder}/zips.txt", "w") as f:
         f.write("30002\n \n 30004\t\n\n")
@@ -426,6 +501,31 @@ def test_raw_profile(spark, folder):
     assert sampled.total_records == 3
 
 
+def test_sampling_reads_the_beginnings_of_files_only(spark, folder, monkeypatch):
+    line = json.dumps({"a": "x" * 183, "n": 1})                       # 200 bytes with its end
+    write_feed(f"{folder}/raw", "big one.jsonl", [line] * 100_000)    # 20 MB
+    write_feed(f"{folder}/raw", "small.jsonl", [line] * 7)
+    write_feed(f"{folder}/raw", "long.jsonl", ['{"a": "' + "y" * 5000 + '"}'])
+    open(f"{folder}/raw/empty.jsonl", "w").close()
+    with open(f"{folder}/raw/open.jsonl", "w") as f:
+        f.write(line + "\n" + line)                                   # no last line break
+    found = {os.path.basename(r.file): (r.sampled_records, r.total_records)
+             for r in profile.raw_file_inventory(spark, f"{folder}/raw", sample_bytes=2000).collect()}
+    size = len(line) + 1
+    assert found == {"big one.jsonl": (2000 // size, int(100_000 * size / (2000 / (2000 // size)))), "small.jsonl": (7, 7), "long.jsonl": (0, 0),
+                     "empty.jsonl": (0, 0), "open.jsonl": (2, 2)}
+    sections = profile.raw_profile(spark, f"{folder}/raw", sample_bytes=2000)
+    assert {r.key: r.seen for r in sections["keys"].collect()} == {"a": 2000 // size + 9, "n": 2000 // size + 9}
+    with monkeypatch.context() as m:                 # a store that only Spark can open gives the same
+        m.setattr(readers, "_opens", lambda scheme, authority: False)
+        again = readers.line_prefixes(spark, f"{folder}/raw", 2000)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, readers.line_prefixes(spark, f"{folder}/raw", 2000).collect()))
+    plan = readers.file_listing(spark, f"{folder}/raw")._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan                     # Spark opens no file, and tasks ask for the prefix only
+    exact = {os.path.basename(r.file): r.total_records for r in profile.raw_file_inventory(spark, f"{folder}/raw").collect()}
+    assert exact == {"big one.jsonl": 100_000, "small.jsonl": 7, "long.jsonl": 1, "empty.jsonl": 0, "open.jsonl": 2}
+
+
 def test_columns_without_values_and_written_numbers(spark):
     from forecourt.plans import profile
 
