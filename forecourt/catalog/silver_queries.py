@@ -12,7 +12,7 @@ from forecourt.catalog.listings import (AS_OF, AS_OF_YEAR, RUN_ID, RUN_TS, listi
                                         with_listings)
 from forecourt.operators import frequency, keys, routing, shape
 from forecourt.plans import coverage, jobs, profile, quality, silver
-from forecourt.session import fresh_path, path_exists
+from forecourt.session import fresh_path, path_exists, stage
 from forecourt.sources import manifest, readers, writers
 from forecourt.sources.listing import file_listing
 from forecourt.sources.state import rename
@@ -968,6 +968,111 @@ def raw_profile_nested_keys(spark, sf_dir):
         "key", "nested", "seen")
 
 
+# --- whole reports: every section, column and measure as (section, column, measure, number) ----
+
+def _measures(section: str, df: DataFrame, key: str, names: tuple[str, ...]) -> DataFrame:
+    narrow = df.select(F.col(key).alias("column"), *[F.col(n).cast("double").alias(n) for n in names])
+    return narrow.unpivot(["column"], list(names), "measure", "number").select(F.lit(section).alias("section"), "column", "measure", "number")
+
+
+def _measures_sql(section: str, body: str, key: str, names: tuple[str, ...]) -> str:
+    labels = ", ".join(f"'{n}'" for n in names)
+    values = ", ".join(f'("{n}")::DOUBLE' for n in names)
+    return (f"SELECT '{section}' AS section, {key} AS \"column\", unnest([{labels}]) AS measure, "
+            f"unnest([{values}]) AS number FROM ({body})")
+
+
+_NUMERIC = ("count", "mean", "std", "min", "p25", "p50", "p75", "max", "null_count", "null_pct")
+_TEXTUAL = ("non_null_count", "non_empty_count", "null_count", "null_pct", "unique_count")
+_QUALITY = ("null_count", "empty_string_count", "total_missing", "missing_pct", "non_null_count")
+_RANGE = ("min", "max", "mean", "median")
+
+
+@query("silver_profile_report", " UNION ALL ".join([
+    _measures_sql("shape", with_listings("SELECT count(*) AS rows FROM listings"), "'table'", ("rows",)),
+    _measures_sql("numeric_summary", ORACLES["numeric_profile"], '"column"', _NUMERIC),
+    _measures_sql("string_summary", ORACLES["string_profile"], '"column"', _TEXTUAL),
+    f"""SELECT 'top_values', "column", value, n FROM ({ORACLES['top_text_values']})""",
+    f"""SELECT 'value_counts', "column", value, n FROM ({ORACLES['category_counts']})"""]))
+def silver_profile_report(spark, sf_dir):
+    rows = stage(listings(spark, sf_dir, dealer=True).select(*TEXTS, *PROFILED), "profiled")
+    sections = profile.silver_profile(rows)
+    shape_ = sections["shape"].withColumn("column", F.lit("table"))
+    top = sections["string_summary"].select("column", F.explode("top_values").alias("t"))
+    return frequency.union_all([
+        _measures("shape", shape_, "column", ("rows",)),
+        _measures("numeric_summary", _rounded(sections["numeric_summary"], "mean", "std"), "column", _NUMERIC),
+        _measures("string_summary", sections["string_summary"], "column", _TEXTUAL),
+        top.select(F.lit("top_values").alias("section"), "column", F.col("t.value").alias("measure"), F.col("t.n").cast("double").alias("number")),
+        sections["value_counts"].select(F.lit("value_counts").alias("section"), "column", F.col("value").alias("measure"),
+                                        F.col("n").cast("double").alias("number"))])
+
+
+@query("quality_report", " UNION ALL ".join([
+    _measures_sql("totals", with_listings("SELECT count(*) AS total_records, count(DISTINCT _source_file) AS total_files FROM listings"),
+                  "'table'", ("total_records", "total_files")),
+    _measures_sql("duplicates", with_listings("SELECT count(*) - count(DISTINCT vin) AS duplicate_rows FROM listings"), "'table'", ("duplicate_rows",)),
+    _measures_sql("columns", ORACLES["column_completeness"], '"column"', _QUALITY),
+    _measures_sql("columns", ORACLES["text_samples"], '"column"', ("unique_count",)),
+    f"""SELECT 'samples', "column", samples, NULL FROM ({ORACLES['text_samples']})""",
+    _measures_sql("columns", ORACLES["number_ranges"], '"column"', _RANGE),
+    f"""SELECT 'columns_fully_populated', "column", '', NULL FROM ({ORACLES['fully_populated_columns']})""",
+    _measures_sql("columns_mostly_null", ORACLES["mostly_null_columns"], '"column"', ("missing_pct",)),
+    _measures_sql("quarantine", ORACLES["quarantine_totals"], "'table'", ("total_rejected", "quarantine_files")),
+    f"""SELECT 'rejection_reasons', reason, 'n', n FROM ({ORACLES['rejection_reasons']})"""]))
+def quality_report(spark, sf_dir):
+    rows = stage(listings(spark, sf_dir, dealer=True).select(*TEXTS, *PROFILED, "_source_file"), "reported")
+    root, _ = silver_run(spark, sf_dir)
+    got = quality.quality_report(rows, readers.quarantine_scan(spark, root))
+    columns = stage(got["columns"].where(F.col("column") != "_source_file"), "report-columns")
+    own = F.col("column") != "_source_file"
+    texts, none = columns.where(F.col("unique_count").isNotNull()), F.lit(None).cast("double").alias("number")
+    table_of = {name: got[name].withColumn("column", F.lit("table")) for name in ("totals", "duplicates", "quarantine")}
+    return frequency.union_all([
+        _measures("totals", table_of["totals"], "column", ("total_records", "total_files")),
+        _measures("duplicates", table_of["duplicates"], "column", ("duplicate_rows",)),
+        _measures("columns", columns, "column", _QUALITY),
+        _measures("columns", texts, "column", ("unique_count",)),
+        texts.select(F.lit("samples").alias("section"), "column", F.array_join("sample_values", "|").alias("measure"), none),
+        _measures("columns", columns.where(F.col("column").isin(PROFILED)), "column", _RANGE),
+        got["columns_fully_populated"].where(own).select(F.lit("columns_fully_populated").alias("section"), "column", F.lit("").alias("measure"), none),
+        _measures("columns_mostly_null", got["columns_mostly_null"].where(own), "column", ("missing_pct",)),
+        _measures("quarantine", table_of["quarantine"], "column", ("total_rejected", "quarantine_files")),
+        _measures("rejection_reasons", got["rejection_reasons"], "reason", ("n",))])
+
+
+_ODD_SQL = _ODD_LINE.replace("{id}", "event_id")
+
+
+@query("raw_profile", f"""
+SELECT 'files' AS section, event_type AS "column", 'total_records' AS measure, count(*)::DOUBLE AS number, NULL AS sample FROM events GROUP BY 2
+UNION ALL SELECT 'totals', 'raw', unnest(['total_files', 'total_records']), unnest([count(DISTINCT event_type)::DOUBLE, count(*)::DOUBLE]), NULL FROM events
+UNION ALL SELECT 'types', key, type, n, NULL FROM ({ORACLES['raw_key_inventory']})
+UNION ALL SELECT 'seen', key, 'n', sum(n), NULL FROM ({ORACLES['raw_key_inventory']}) GROUP BY key
+UNION ALL SELECT 'nested', key, 'n', max((type LIKE 'dict%')::INTEGER), NULL FROM ({ORACLES['raw_key_inventory']}) GROUP BY key
+UNION ALL SELECT 'sample', 'id', '', NULL, min(event_id::VARCHAR) FROM events WHERE event_id % 11 <> 0
+UNION ALL SELECT 'sample', 'name', '', NULL, min(event_type) FROM events WHERE event_id % 11 <> 0""")
+def raw_profile(spark, sf_dir):
+    """All sections over files of odd lines, a file a kind of event, under names the default pattern misses."""
+    path = fresh_path(spark, "odd-lines")
+    line = F.expr(_ODD_LINE.replace("{id}", "cast(event_id as string)"))
+    lines = table(spark, sf_dir, "events").select(line.alias("value"), F.col("event_type").alias("kind"))
+    lines.repartition("kind").write.partitionBy("kind").text(path)
+    got = profile.raw_profile(spark, path, glob=FEED_GLOB)
+    keys_ = stage(got["keys"], "raw-keys")
+    none, text = F.lit(None).cast("double").alias("number"), F.lit(None).cast("string").alias("sample")
+    parts = [
+        _measures("files", got["files"].withColumn("kind", F.regexp_extract("file", "kind=([^/]+)", 1)), "kind", ("total_records",)),
+        _measures("totals", got["totals"].withColumn("of", F.lit("raw")), "of", ("total_files", "total_records")),
+        keys_.select("key", F.explode("types").alias("t")).select(F.lit("types").alias("section"), F.col("key").alias("column"),
+                                                                 F.col("t.type").alias("measure"), F.col("t.n").cast("double").alias("number")),
+        _measures("seen", keys_.withColumn("n", F.col("seen")), "key", ("n",)),
+        _measures("nested", keys_.withColumn("n", F.col("nested").cast("int")), "key", ("n",))]
+    samples = keys_.where(F.col("key").isin("id", "name")).select(
+        F.lit("sample").alias("section"), F.col("key").alias("column"), F.lit("").alias("measure"), none, "sample")
+    return frequency.union_all(parts).withColumn("sample", text).unionByName(samples)
+
+
 @query("union_by_name", """SELECT k, name FROM (SELECT c_custkey AS k, c_name AS name FROM customer
 UNION ALL SELECT s_suppkey, s_name FROM supplier)""")
 def union_by_name(spark, sf_dir):
