@@ -59,7 +59,7 @@ class PrefixBpe:
         self.ending: list[tuple[tuple[int, int], ...]] = [()]
         self.steps: dict[int, int] = {}
         self.parts: dict[int, tuple[int, int] | None] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}   # by left token << 32 | right token
 
     def _halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge made ``token``; None for a single byte."""
@@ -85,7 +85,7 @@ class PrefixBpe:
         two tokens that touch must have no merge that comes before the one just
         undone: it would have joined them first.
         """
-        key = (left, right)
+        key = left << 32 | right
         known = self.fits.get(key)
         if known is not None:
             return known
@@ -136,7 +136,7 @@ class PrefixBpe:
                     last.append(token)
                     break
                 before = last[at + 1 - size]
-                ok = fits((before, token))
+                ok = fits(before << 32 | token)
                 if ok or ok is None and self.compatible(before, token):
                     last.append(token)
                     break
@@ -251,16 +251,25 @@ class TextEncoder:
         out = list(map(self.after_space.get, words))
         new = [w for w, ids in zip(words, out) if ids is None]
         plain = [w for w in new if w and not w[-1].isspace()]
-        cuts: dict[str, list[str]] = {w: self.cut.findall(" " + w) for w in set(new).difference(plain)}
-        at, current = iter(plain), []
+        # nearly every word is one match of the pattern, together with its space
+        single: dict[str, str] = {}
+        longer: dict[str, list[str]] = {w: self.cut.findall(" " + w) for w in set(new).difference(plain)}
+        at, word, current = iter(plain), "", None
         for piece in self.cut.findall(" " + " ".join(plain)) if plain else ():
             if piece[0] == " ":   # the only spaces are those between the words
-                current = cuts[next(at)] = []
-            current.append(piece)
-        learnt = dict(zip(cuts, self._ids(list(cuts.values()))))
-        for w, ids in learnt.items():
-            if len(w) <= 64:
-                self.after_space[w] = ids
+                word, current = next(at), None
+                single[word] = piece
+            elif current is None:
+                current = longer[word] = [single.pop(word), piece]
+            else:
+                current.append(piece)
+        learnt = dict(zip(longer, self._ids(list(longer.values()))))
+        data = [piece.encode() for piece in single.values()]
+        found = self.bpe.encode_pieces(data)
+        learnt.update((w, tuple(found[d])) for w, d in zip(single, data))
+        if len(self.after_space) + len(self.pieces) + len(learnt) > PIECES_KEPT:   # keep what this round has used
+            self.after_space = {w: ids for w, ids in zip(words, out) if ids is not None}
+        self.after_space.update((w, ids) for w, ids in learnt.items() if len(w) <= 64)
         return [learnt[w] if ids is None else ids for w, ids in zip(words, out)]
 
     def encode(self, texts: pa.Array) -> pa.ListArray:
