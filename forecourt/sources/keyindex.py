@@ -19,7 +19,7 @@ from forecourt import fixed_values as fixed
 from forecourt.session import drop_path
 from forecourt.sources.state import names_in
 
-BUCKETS = 512
+BUCKETS = 64          # more for tables of many billion keys: a run has a file a bucket at most
 MAX_FOLDERS = 32      # more are merged into one
 _RUN = "_pipeline_run_id="
 

@@ -275,10 +275,10 @@ def test_a_batch_reads_the_index_buckets_of_its_keys_only(spark, folder):
     for i, run_id in enumerate("ab"):
         writers.write_silver(spark.range(i * 1000, i * 1000 + 1000).select(F.col("id").cast("string").alias("vin"), F.lit("r").alias("_pipeline_run_id")),
                              f"{root}/listings", run_id)
-    index = KeyIndex(spark, f"{root}/listings", f"{root}/index")
+    index = KeyIndex(spark, f"{root}/listings", f"{root}/index", buckets=512)
     batch = spark.createDataFrame([("5",), ("1500",), ("new",), (None,)], "vin string")
     known = index.known(batch)
-    buckets = {r.b for r in batch.where("vin is not null").select(bucket_of(F.col("vin")).alias("b")).collect()}
+    buckets = {r.b for r in batch.where("vin is not null").select(bucket_of(F.col("vin"), 512).alias("b")).collect()}
     plan = known._jdf.queryExecution().executedPlan().toString()
     assert "/listings" not in plan and "bucket" in plan.split("PartitionFilters: ")[1].split("]")[0]
     found = {r.vin for r in known.collect()}
