@@ -80,11 +80,23 @@ def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, Iterabl
     return df.mapInArrow(run, out_schema)
 
 
-def staged(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """``df`` written below the shared folder and read again, and its path."""
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def staged(df: DataFrame, label: str, free_shuffle: bool = False) -> tuple[DataFrame, str]:
+    """``df`` written below the shared folder and read again, and its path.  With
+    ``free_shuffle`` the write's shuffle files go as soon as it has ended, not when the
+    driver's memory is next cleaned; nothing reads them again."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_FREE, "false")
+    if free_shuffle:
+        spark.conf.set(_FREE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if free_shuffle:
+            spark.conf.set(_FREE, before)
     return spark.read.schema(df.schema).parquet(path), path
 
 
