@@ -202,6 +202,20 @@ def test_passages(spark):
     assert paragraphs.repeated_passages(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_passages_of_long_texts(spark):
+    rng = random.Random(12)
+    words = [f"v{rng.randrange(10 ** 7)}" for _ in range(30_000)]
+    other = [f"u{rng.randrange(10 ** 7)}" for _ in range(100)]
+    rows = [(1, " ".join(words)), (2, " ".join(other + words[9_000:9_200])), (3, None), (4, " ".join(words[:-1]) + " Ä")]
+    got = paragraphs.repeated_passages(spark.createDataFrame(
+        [(d, t, 1, 2, 3, "k") for d, t in rows], "doc_id long, text string, h1 int, of int, start int, keys string")).collect()
+    assert {(r.doc_id, r.cluster_doc_id, r.kept) for r in got if r.unit == "line"} == {(1, 1, True), (4, 1, False)}
+    spans = [r for r in got if r.unit == "passage" and r.doc_id == 2]
+    assert all((r.cluster_doc_id, r.kept) == (1, False) for r in spans)
+    found = {k for r in spans for k in range(r.first_word, r.first_word + r.n_words)}
+    assert found <= set(range(100, 300)) and len(found) >= 176
+
+
 def test_vectors(spark):
     rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     n = len(rows)
