@@ -118,12 +118,14 @@ def compact_files(spark: SparkSession, paths: Sequence[str], out: str, target_by
 def compact(df: DataFrame, path: str, total_bytes: int | None = None,
             target_bytes: int = fixed.PART_BYTES) -> int:
     """Rewrite any rows into few, large files.  Where ``total_bytes`` is not given they are
-    written aside first and measured.  Tables as they are stored: :func:`compact_files`."""
+    written aside first and packed as stored tables are (:func:`compact_files`): no task
+    reads more than the target, nothing is shuffled."""
     if total_bytes is None:
         spark, aside = df.sparkSession, fresh_path(df.sparkSession, "compact")
         df.write.parquet(aside)
-        total_bytes = listed_bytes(spark, aside)
-        df = spark.read.schema(df.schema).parquet(aside)
+        rows = compact_files(spark, [aside], path, target_bytes)
+        drop_path(spark, aside)
+        return rows
     return replace_parquet(df.repartition(max(1, math.ceil(total_bytes / target_bytes))), path)
 
 

@@ -4,12 +4,13 @@ import glob
 import gzip
 import os
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.catalog import silver_queries as s
 from forecourt.operators.keys import pick_rows
 from forecourt.session import stage
-from forecourt.sources import readers
+from forecourt.sources import readers, writers
 from forecourt.sources.listing import file_listing, opener, unreadable_files
 
 
@@ -52,3 +53,19 @@ def test_compressed_files_are_checked_piece_by_piece(spark, folder):
     found = unreadable_files(spark, listed)
     assert sorted(os.path.basename(r.path) for r in found.collect()) == ["cut.txt.gz", "junk.txt.gz"]
     assert "wholetext" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_compacting_shuffles_nothing(spark, folder, monkeypatch):
+    rows = spark.range(20_000, numPartitions=8).select("id", F.md5(F.col("id").cast("string")).alias("text"))
+
+    def shuffled(*args, **kwargs):
+        raise AssertionError("rows are shuffled, all of a part are read by one task")
+
+    monkeypatch.setattr(DataFrame, "repartition", shuffled)
+    assert writers.compact(rows, f"{folder}/whole") == 20_000
+    assert len(glob.glob(f"{folder}/whole/*.parquet")) == 1
+    target = writers.listed_bytes(spark, f"{folder}/whole") // 3
+    assert writers.compact(rows, f"{folder}/parts", target_bytes=target) == 20_000
+    sizes = list(map(os.path.getsize, glob.glob(f"{folder}/parts/*.parquet")))
+    assert 3 <= len(sizes) <= 6 and max(sizes) <= 1.5 * target
+    assert sorted(r.id for r in spark.read.parquet(f"{folder}/parts").select("id").collect()) == list(range(20_000))
