@@ -125,7 +125,7 @@ def compact(df: DataFrame, path: str, total_bytes: int | None = None,
     reads more than the target, nothing is shuffled."""
     if total_bytes is None:
         spark, aside = df.sparkSession, fresh_path(df.sparkSession, "compact")
-        df.write.parquet(aside)
+        df.write.parquet(aside, compression=STORED)   # as the result is: sizes aside tell sizes there
         rows = compact_files(spark, [aside], path, target_bytes)
         drop_path(spark, aside)
         return rows
