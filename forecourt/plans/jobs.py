@@ -18,8 +18,8 @@ from forecourt.plans import gold
 from forecourt.plans.silver import silver_rows
 from forecourt.session import STAGED, drop_path, fresh_path, path_exists, stage
 from forecourt.sources.keyindex import KeyIndex
-from forecourt.sources.listing import file_listing, literal, scanned_path, unreadable_files
-from forecourt.sources.readers import CORRUPT, RAW_GLOB, RAW_TEXT, file_log, file_position, listing_scan
+from forecourt.sources.listing import file_listing, literal, scanned_path, suspect_files, unreadable_files
+from forecourt.sources.readers import CORRUPT, RAW_GLOB, RAW_TEXT, file_log, file_position, line_scan, listing_scan
 from forecourt.sources.state import announce_run, dead_runs, live_root, next_version, publish, utc_text, version_root
 from forecourt.sources.writers import replace_parquet, run_folder, write_parquet, write_quarantine, write_silver
 
@@ -183,21 +183,43 @@ def drop_dead_rejects(spark: SparkSession, live: str, log: DataFrame) -> None:
         drop_path(spark, run_folder(path, run_id))
 
 
+def broken_from_the_start(spark: SparkSession, pending: DataFrame, glob: str) -> DataFrame | None:
+    """``path`` of those of the ``pending`` files that cannot be read and do not even begin as they should
+    (None if there are none): the others need not be read in vain to find them.  What
+    tasks cannot unpack is read by Spark, which decides."""
+    try:
+        suspects = suspect_files(pending)
+        suspects = suspects and stage(suspects, "suspect-files")
+        if suspects is None or suspects.isEmpty():
+            return None
+    except Exception:   # tasks cannot look at files of this store
+        return None
+    try:
+        line_scan(spark, [literal(r.path) for r in suspects.select("path").collect()], glob).count()
+    except Exception:
+        broken = stage(unreadable_files(spark, suspects), "unreadable-files")
+        return None if broken.isEmpty() else broken
+    return None
+
+
 def stage_readable(spark: SparkSession, pending: DataFrame, glob: str, path: str, *shape) -> tuple[DataFrame, DataFrame | None]:
     """The ``pending`` files staged by :func:`stage_raw`, and those that cannot be read
-    (``path``, None if all can).  Files are only examined one by one when reading them all fails."""
+    (``path``, None if all can).  Files are only examined whole, one by one, when reading them all fails."""
     def scan(files: DataFrame) -> DataFrame:
         return listing_scan(spark, [literal(r.path) for r in files.select("path").orderBy("path").collect()], glob=glob)
 
+    def without(broken: DataFrame) -> DataFrame:
+        sound = pending.join(broken, "path", "left_anti")
+        return scan(pending).where(F.lit(False)) if sound.isEmpty() else scan(sound)
+
+    broken = broken_from_the_start(spark, pending, glob)
     try:
-        return stage_raw(scan(pending), path, *shape), None
+        return stage_raw(scan(pending) if broken is None else without(broken), path, *shape), broken
     except Exception:
         broken = stage(unreadable_files(spark, pending), "unreadable-files")
         if broken.isEmpty():
             raise   # something else is wrong
-    sound = pending.join(broken, "path", "left_anti")
-    rows = scan(pending).where(F.lit(False)) if sound.isEmpty() else scan(sound)
-    return stage_raw(rows, path, *shape), broken
+    return stage_raw(without(broken), path, *shape), broken
 
 
 def run_silver(spark: SparkSession, raw_path: str, silver_root: str, full_refresh: bool = False,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,9 +89,9 @@ def opener(listed: DataFrame, opens: Callable[[str, str], bool] = _opens) -> Cal
     return opened
 
 
-def _unpacked(files: DataFrame, opened: Callable) -> DataFrame:
-    """``path`` of the compressed ``files`` that unpack to their end.  They are unpacked a piece at a time:
-    no task holds a file's text."""
+def _unpacked(files: DataFrame, opened: Callable, pieces: int | None = None) -> DataFrame:
+    """``path`` of the compressed ``files`` that unpack to their end, or as far as their first ``pieces``.  They are
+    unpacked a piece at a time: no task holds a file's text."""
     def tried(batches):
         import pyarrow as pa
 
@@ -99,8 +100,9 @@ def _unpacked(files: DataFrame, opened: Callable) -> DataFrame:
             for path in batch.column("path").to_pylist():
                 try:
                     with opened(path) as file:
-                        while file.read(1 << 20):
-                            pass
+                        for _ in count() if pieces is None else range(pieces):
+                            if not file.read(1 << 20):
+                                break
                 except OSError:
                     continue
                 whole.append(path)
@@ -110,6 +112,14 @@ def _unpacked(files: DataFrame, opened: Callable) -> DataFrame:
     return files.select("path").repartition(tasks).mapInArrow(tried, "path string")
 
 
+def suspect_files(listed: DataFrame) -> DataFrame | None:
+    """Rows of ``listed`` that are compressed files whose beginning does not unpack in a task; None where
+    tasks cannot tell.  Little of a file is read; a file that breaks further on is not found."""
+    some = listed.where((F.col("length") > 0) & F.col("path").rlike(STREAMED))
+    opened = opener(some)
+    return None if opened is None else some.join(_unpacked(some, opened, 1), "path", "left_anti")
+
+
 def unreadable_files(spark: SparkSession, listed: DataFrame) -> DataFrame:
     """``path`` of those files of ``listed`` that cannot be read to their end.
 
